@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from loamlens.session import durable
+
 BUFFERED_DISTINCT_VALUES = 100_000
 INTERVALS = 1024
 
@@ -65,6 +67,19 @@ def quantiles(df: DataFrame, cols: Sequence[str], fraction: float = 0.5,
     return _rename(result, cols, group)
 
 
+def quantiles_and_total(df: DataFrame, cols: Sequence[str], fraction: float, group: str,
+                        buffered: int = BUFFERED_DISTINCT_VALUES) -> tuple[DataFrame, DataFrame]:
+    """Quantiles per group and over everything, in one aggregation when the values are few."""
+    if not few_distinct_values(df, cols, buffered):
+        return (durable(quantiles(df, cols, fraction, group, buffered)),
+                quantiles(df, cols, fraction, None, buffered))
+    both = durable(
+        df.rollup(group).agg(F.grouping(group).alias("_is_total"),
+                             *[F.percentile(c, F.lit(fraction)).alias(c) for c in cols]))
+    return (both.where((F.col("_is_total") == 0) & F.col(group).isNotNull()).drop("_is_total"),
+            both.where(F.col("_is_total") == 1).select(*cols))
+
+
 def _melt(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("value"))
              for i, c in enumerate(cols)]
@@ -160,21 +175,36 @@ def _pick_value(inside: DataFrame) -> DataFrame:
 
 def grouped_modes(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
     """Most frequent value of every column per group; ties go to the smallest value."""
-    return _rename(_modes(_with_group(df, cols, group), cols), cols, group)
+    rows = _with_group(df, cols, group)
+    return _rename(_most_frequent(_value_counts(rows, cols), cols), cols, group)
 
 
 def global_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return _rename(_modes(_with_group(df, cols, None), cols), cols, None)
+    rows = _with_group(df, cols, None)
+    return _rename(_most_frequent(_value_counts(rows, cols), cols), cols, None)
+
 
+def modes_and_total(df: DataFrame, cols: Sequence[str],
+                    group: str) -> tuple[DataFrame, DataFrame]:
+    """Modes per group and over everything, from one count of the values per group."""
+    counts = durable(_value_counts(df.select(F.col(group).alias("_group"), *cols), cols))
+    known = counts.where(F.col("_group").isNotNull())
+    total = counts.groupBy(F.lit(1).alias("_group"), "i", "value").agg(F.sum("n").alias("n"))
+    return (_rename(_most_frequent(known, cols), cols, group),
+            _rename(_most_frequent(total, cols), cols, None))
 
-def _modes(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Value counts first, then one comparison per distinct value: both steps combine map-side."""
+
+def _value_counts(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(_group, i, value, n)``: how often each value of the i-th column occurs in a group."""
     pairs = [F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("value"))
              for i, c in enumerate(cols)]
-    counts = (
+    return (
         rows.select("_group", F.explode(F.array(*pairs)).alias("_pair"))
         .groupBy("_group", "_pair.i", "_pair.value").agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def _most_frequent(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
     # a group with nothing but missing values keeps its row: the missing value ranks last
     order = F.struct(F.col("value").isNull(), -F.col("n"), F.col("value"))
     chosen = [

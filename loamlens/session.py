@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,26 +24,29 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf) ->
     return builder.getOrCreate()
 
 
-def require_checkpoint_dir(spark: SparkSession) -> None:
-    """Make sure lineage can be cut into storage that survives the loss of an executor.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder intermediate tables are written to.
 
-    The folder named by ``spark.checkpoint.dir`` is used as it is. Only a local session, where
-    driver and executors share one disk, gets a folder of its own.
+    It is the one named by ``spark.checkpoint.dir``, which every executor can reach. Only a local
+    session, where driver and executors share one disk, makes a folder of its own.
     """
-    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(configured)
-        return
-    if context.getCheckpointDir() is not None:
-        return
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="loamlens-checkpoint-"))
+        return configured
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="loamlens-"))
+    return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the checkpoint folder."""
-    require_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and read back from a table in the checkpoint folder.
+
+    What follows does not depend on any executor's memory or disk, reads only the columns it
+    needs, and is planned with the table's real size.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/loamlens-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
