@@ -9,13 +9,17 @@ the wanted rank, repeat. Each round is one aggregation whose result is a few row
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loamlens.operators.skew import salted_join
 from loamlens.session import durable
 
-BUFFERED_DISTINCT_VALUES = 100_000
+BUFFERED_DISTINCT_VALUES = 200_000
 INTERVALS = 1024
+# Group keys and rank targets are broadcast up to this many rows, joined by a shuffle beyond.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def _with_group(df: DataFrame, cols: Sequence[str], group: str | None) -> DataFrame:
@@ -28,14 +32,23 @@ def _rename(df: DataFrame, cols: Sequence[str], group: str | None) -> DataFrame:
     return df.select(*([F.col("_group").alias(group)] if group else []), *cols)
 
 
-def _most_distinct(cols: Sequence[str]) -> Column:
-    return F.greatest(F.lit(0), *[F.approx_count_distinct(c) for c in cols]).alias("_distinct")
+def _distinct_values(cols: Sequence[str]) -> Column:
+    """Distinct values of all columns together, which is what a group's buffers hold."""
+    total = sum((F.approx_count_distinct(c) for c in cols), F.lit(0))
+    return total.alias("_distinct")
 
 
 def few_distinct_values(df: DataFrame, cols: Sequence[str],
                         limit: int = BUFFERED_DISTINCT_VALUES) -> bool:
-    """Whether no column has more than ``limit`` distinct values, hence no group of it either."""
-    return df.agg(_most_distinct(cols)).first()["_distinct"] <= limit
+    """Whether the columns have at most ``limit`` distinct values, hence every group of them."""
+    return df.agg(_distinct_values(cols)).first()["_distinct"] <= limit
+
+
+def _join_table(rows: DataFrame, table: DataFrame, n_rows: int, on: Sequence[str],
+                how: str = "inner") -> DataFrame:
+    if n_rows <= MAX_BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), list(on), how)
+    return salted_join(rows, table, list(on), how)
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], fraction: float = 0.5,
@@ -44,24 +57,22 @@ def quantiles(df: DataFrame, cols: Sequence[str], fraction: float = 0.5,
     """Exact linearly interpolated quantile of every column: one row per group, or one row.
 
     Missing values are skipped, a column without values gives null, a null group gives no row.
-    Groups with more than ``buffered`` distinct values in a column are narrowed down; None says
-    that the caller has checked that there are none.
+    Groups with more than ``buffered`` distinct values in their columns are narrowed down; None
+    says that the caller has checked that there are none.
     """
     rows = _with_group(df, cols, group)
-    wide = [] if buffered is None else (
-        rows.groupBy("_group").agg(_most_distinct(cols))
-        .where(F.col("_distinct") > buffered).select("_group").collect()
-    )
     built_in = [F.percentile(c, F.lit(fraction)).alias(c) for c in cols]
-    if not wide:
+    wide, n_wide = None, 0
+    if buffered is not None:
+        wide = durable(rows.groupBy("_group").agg(_distinct_values(cols))
+                       .where(F.col("_distinct") > buffered).select("_group"))
+        n_wide = wide.count()
+    if n_wide == 0:
         if group is None:
             return rows.agg(*built_in)
         return _rename(rows.groupBy("_group").agg(*built_in), cols, group)
-    key_type = rows.schema["_group"].dataType
-    keys = df.sparkSession.createDataFrame(
-        [(row["_group"],) for row in wide], T.StructType([T.StructField("_group", key_type)]))
-    narrow = rows.join(F.broadcast(keys), "_group", "left_anti")
-    by_narrowing = _narrow_down(rows.join(F.broadcast(keys), "_group", "left_semi"),
+    narrow = _join_table(rows, wide, n_wide, ["_group"], "left_anti")
+    by_narrowing = _narrow_down(_join_table(rows, wide, n_wide, ["_group"], "left_semi"),
                                 cols, fraction, buffered)
     result = narrow.groupBy("_group").agg(*built_in).unionByName(by_narrowing)
     return _rename(result, cols, group)
@@ -91,57 +102,47 @@ def _melt(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def _narrow_down(rows: DataFrame, cols: Sequence[str], fraction: float,
                  buffered: int) -> DataFrame:
-    spark = rows.sparkSession
+    """Quantiles of the given groups by ever smaller intervals around the two wanted ranks."""
     melted = _melt(rows, cols)
-    target_schema = T.StructType([
-        rows.schema["_group"], T.StructField("i", T.IntegerType()),
-        T.StructField("side", T.IntegerType()), T.StructField("rank", T.LongType()),
-        T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType()),
-    ])
-    targets, weights = [], {}
-    for row in melted.groupBy("_group", "i").agg(
-            F.count("value").alias("n"), F.min("value").alias("low"),
-            F.max("value").alias("high")).collect():
-        position = (row["n"] - 1) * fraction
-        below = int(position)
-        weights[row["_group"], row["i"]] = position - below
-        for side, rank in enumerate((below, min(below + 1, row["n"] - 1))):
-            targets.append((row["_group"], row["i"], side, rank, row["low"], row["high"], row["n"]))
-    found: dict[tuple, float] = {}
-    while targets:
-        open_targets = []
-        for *target, size in targets:
-            group, i, side, _rank, low, high = target
-            if low == high:
-                found[group, i, side] = low
-            else:
-                open_targets.append((target, size))
-        if not open_targets:
+    position = (F.col("n") - 1) * F.lit(fraction)
+    below = F.floor(position)
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), below.alias("rank"),
+                 (1 - (position - below)).alias("weight")),
+        F.struct(F.lit(1).alias("side"), F.least(below + 1, F.col("n") - 1).alias("rank"),
+                 (position - below).alias("weight")))
+    spans = melted.groupBy("_group", "i").agg(
+        F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    targets = durable(spans.withColumn("_side", F.explode(sides))
+                      .select("_group", "i", "_side.*", "low", "high", "n"))
+    found = []
+    while True:
+        found.append(targets.where("low = high").select(
+            "_group", "i", F.col("low").alias("value"), "weight"))
+        still_open = targets.where("low < high")
+        state = still_open.agg(F.count(F.lit(1)).alias("targets"), F.max("n").alias("n")).first()
+        if state["targets"] == 0:
             break
-        table = spark.createDataFrame([tuple(t) for t, _ in open_targets], target_schema)
-        inside = melted.join(F.broadcast(table), ["_group", "i"]).where(
-            F.col("value").between(F.col("low"), F.col("high")))
-        if max(size for _, size in open_targets) <= buffered:
-            for row in _pick_value(inside).collect():
-                found[row["_group"], row["i"], row["side"]] = row["value"]
+        inside = _join_table(melted, still_open.drop("n"), state["targets"], ["_group", "i"]) \
+            .where(F.col("value").between(F.col("low"), F.col("high")))
+        if state["n"] <= buffered:
+            found.append(_pick_value(inside))
             break
-        targets = [tuple(row) for row in _pick_interval(inside).collect()]
-    schema = T.StructType([rows.schema["_group"]]
-                          + [T.StructField(c, T.DoubleType()) for c in cols])
-    result = []
-    for group in {key[0] for key in weights}:
-        values = []
-        for i in range(len(cols)):
-            weight = weights.get((group, i))
-            values.append(None if weight is None else
-                          found[group, i, 0] * (1 - weight) + found[group, i, 1] * weight)
-        result.append((group, *values))
-    return spark.createDataFrame(result, schema)
+        targets = durable(_pick_interval(inside))
+    parts = reduce(DataFrame.unionByName, found)
+    term = F.col("value") * F.col("weight")
+    return parts.groupBy("_group").agg(
+        *[F.sum(F.when(F.col("i") == i, term)).alias(c) for i, c in enumerate(cols)])
 
 
-def _running(order: str) -> tuple[Column, Window]:
-    window = Window.partitionBy("_group", "i", "side").orderBy(order)
-    return F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, 0)), window
+def _holding_rank(counted: DataFrame, order: str) -> DataFrame:
+    """The row per target whose values cover the target's rank; ``before`` counts those ahead."""
+    ahead = Window.partitionBy("_group", "i", "side").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (
+        counted.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+    )
 
 
 def _pick_interval(inside: DataFrame) -> DataFrame:
@@ -149,28 +150,19 @@ def _pick_interval(inside: DataFrame) -> DataFrame:
     # halved before subtracting: the width of a range can exceed the largest double
     share = ((F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2))
     interval = F.least(F.floor(share * INTERVALS), F.lit(INTERVALS - 1))
-    counted = inside.groupBy("_group", "i", "side", "rank", interval.alias("interval")).agg(
+    counted = inside.groupBy("_group", "i", "side", "rank", "weight",
+                             interval.alias("interval")).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-    through, _ = _running("interval")
-    return (
-        counted.withColumn("_through", through)
-        .where((F.col("rank") < F.col("_through"))
-               & (F.col("rank") >= F.col("_through") - F.col("n")))
-        .select("_group", "i", "side",
-                (F.col("rank") - F.col("_through") + F.col("n")).alias("rank"), "low", "high", "n")
-    )
+    return _holding_rank(counted, "interval").select(
+        "_group", "i", "side", (F.col("rank") - F.col("before")).alias("rank"), "weight",
+        "low", "high", "n")
 
 
 def _pick_value(inside: DataFrame) -> DataFrame:
     """The value at each target's rank, once few enough values are left to sort."""
-    counted = inside.groupBy("_group", "i", "side", "rank", "value").agg(
+    counted = inside.groupBy("_group", "i", "side", "rank", "weight", "value").agg(
         F.count(F.lit(1)).alias("n"))
-    through, _ = _running("value")
-    return (
-        counted.withColumn("_through", through)
-        .where((F.col("rank") < F.col("_through"))
-               & (F.col("rank") >= F.col("_through") - F.col("n")))
-    )
+    return _holding_rank(counted, "value").select("_group", "i", "value", "weight")
 
 
 def grouped_modes(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:

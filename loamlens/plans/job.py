@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from loamlens.operators.forest import ForestParams
-from loamlens.plans.dataset import RawTables, training_table, with_row_id
+from loamlens.plans.dataset import RawTables, numbered, training_table
 from loamlens.plans.training import TrainingResult, train_with_grid_search
 from loamlens.schemas import (
     CHEMICAL_SCHEMA, COMMODITIES, CROP_SCHEMA, MAX_LOOKBACK_YEARS, PHYSICAL_SCHEMA,
@@ -38,7 +38,7 @@ def run(tables: RawTables, output: str, spec: FeatureSpec = FeatureSpec(),
         record_order: Sequence[str] = RECORD_ORDER, commodities: Sequence[str] = COMMODITIES,
         lookback: int = MAX_LOOKBACK_YEARS, **training) -> TrainingResult:
     """Run everything and write one folder per result below ``output``."""
-    matched = with_row_id(training_table(tables, record_order, commodities, lookback))
+    matched = numbered(training_table(tables, record_order, commodities, lookback))
     matched = require_rows(
         write_table(matched, f"{output}/training_data_processed"), "matched records")
     if csv:
