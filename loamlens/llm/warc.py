@@ -42,10 +42,10 @@ def merged_headers(original: Column, revisit: Column) -> Column:
 
 
 def latest_earlier(events: DataFrame) -> DataFrame:
-    """As-of join of events to the latest strictly earlier one that is ``full``, per ``url``.
+    """As-of join of the events that aren't ``full`` to the latest strictly earlier full one of a ``url``.
 
-    ``events`` has ``url``, ``at``, ``id``, ``full`` and ``data``; the result adds ``found``, the
-    ``id`` and ``data`` of that event or null. Of several at the same time the largest id counts.
+    ``events`` has ``url``, ``at``, ``id``, ``full`` and ``data``; the result has the
+    events that aren't full, and ``found``: ``at``, ``id`` and ``data`` of the full one, or null. Of several at the same time the largest id counts.
 
     The whole table is range-partitioned by url, time and id, so that one url with a third of all
     events spreads over many partitions. The last full event is found within each partition; what a
@@ -64,7 +64,7 @@ def latest_earlier(events: DataFrame) -> DataFrame:
     past = Window.partitionBy("url").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select("url", "part", F.last("end", ignorenulls=True).over(past).alias("far"))
     joined = within.join(carried.where("far is not null"), ["url", "part"], "left")
-    return joined.select(*events.columns, F.coalesce("near", "far").alias("found"))
+    return joined.where("not full").select(*events.columns, F.coalesce("near", "far").alias("found"))
 
 
 def resolve(records: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def resolve(records: DataFrame) -> DataFrame:
                           (F.col("kind") == "response").alias("full"), F.col("url").alias("raw"),
                           F.struct(*columns[:3], entries.alias("headers")).alias("data"))
     placeable = F.col("url").isNotNull() & F.col("at").isNotNull()
-    found = latest_earlier(events.where(placeable)).where("not full")
+    found = latest_earlier(events.where(placeable))
     lost = events.where(~placeable & ~F.col("full")).withColumn(
         "found", F.lit(None).cast(found.schema["found"].dataType))
     both = found.unionByName(lost)
