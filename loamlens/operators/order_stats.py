@@ -8,6 +8,7 @@ the wanted rank, repeat. Each round is one aggregation whose result is a few row
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
@@ -18,6 +19,7 @@ from loamlens.session import durable
 
 BUFFERED_DISTINCT_VALUES = 200_000
 INTERVALS = 1024
+LARGEST = sys.float_info.max
 # Group keys and rank targets are broadcast up to this many rows, joined by a shuffle beyond.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -130,7 +132,8 @@ def _narrow_down(rows: DataFrame, cols: Sequence[str], fraction: float,
             break
         targets = durable(_pick_interval(inside))
     parts = reduce(DataFrame.unionByName, found)
-    term = F.col("value") * F.col("weight")
+    # a neighbour without weight adds nothing, even if it's infinite
+    term = F.when(F.col("weight") == 0, 0.0).otherwise(F.col("value") * F.col("weight"))
     return parts.groupBy("_group").agg(
         *[F.sum(F.when(F.col("i") == i, term)).alias(c) for i, c in enumerate(cols)])
 
@@ -147,9 +150,12 @@ def _holding_rank(counted: DataFrame, order: str) -> DataFrame:
 
 def _pick_interval(inside: DataFrame) -> DataFrame:
     """The sub-interval, shrunk to the values in it, that holds each target's rank."""
+    # infinities get intervals of their own, so that every round separates the ends of a range
+    low, high = F.greatest("low", F.lit(-LARGEST)), F.least("high", F.lit(LARGEST))
     # halved before subtracting: the width of a range can exceed the largest double
-    share = ((F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2))
-    interval = F.least(F.floor(share * INTERVALS), F.lit(INTERVALS - 1))
+    share = F.when(low < high, (F.col("value") / 2 - low / 2) / (high / 2 - low / 2)).otherwise(0.0)
+    interval = F.when(F.col("value") < -LARGEST, -1).when(F.col("value") > LARGEST, INTERVALS) \
+        .otherwise(F.least(F.floor(share * INTERVALS), F.lit(INTERVALS - 1)))
     counted = inside.groupBy("_group", "i", "side", "rank", "weight",
                              interval.alias("interval")).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
