@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,15 +16,41 @@ BUCKETS, DIMENSIONS, WINDOW = 1 << 16, 8, 1
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 800, 1600, 20_000
 #: texts that must share a subword for its vector to be learned; the bucket of all others
 MIN_DOCS, RARE = 5, 0
-#: remembered words of a worker
-REMEMBERED = 300_000
+#: words a task remembers from one group of texts to the next, words hashed and code points scored together
+REMEMBERED, WORDS, TOGETHER = 300_000, 1 << 14, 1 << 21
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a word and its character 3- to 5-grams, so that misspellings share most of them."""
-    marked = f"<{word}>"
-    grams = {marked[i:i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)} | {marked}
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in sorted(grams)]
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word and of its character 3- to 5-grams, and the place of the word of each.
+
+    Misspellings share most of them. All words are hashed together, gram by gram.
+    """
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"),
+                         np.uint32).astype(np.uint64)
+    size = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
+    ends, owner = np.cumsum(size), np.repeat(np.arange(len(words)), size)
+    left = np.repeat(ends, size) - np.arange(len(code))  # characters to the end of the word
+    hashed, buckets, owners = code, [], []
+    for n in range(2, 6):
+        hashed = hashed[:-1] * _FACTOR + code[n - 1:]
+        if n > 2:
+            inside = left[:len(hashed)] >= n
+            buckets.append(_bucket(hashed[inside] + np.uint64(n)))
+            owners.append(owner[:len(hashed)][inside])
+    powers = np.cumprod(np.full(size.max() + 1, _FACTOR))
+    buckets.append(_bucket(_grouped_sum(code * powers[left], ends - size)))
+    owners.append(np.arange(len(words)))
+    return np.concatenate(buckets), np.concatenate(owners)
+
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _bucket(hashed: np.ndarray) -> np.ndarray:
+    mixed = (hashed ^ (hashed >> np.uint64(29))) * _FACTOR
+    return (mixed >> np.uint64(40)).astype(np.int64) % BUCKETS
 
 
 def words_of(text: str | None) -> list[str]:
@@ -43,27 +68,35 @@ class Model:
     bucket: np.ndarray
     bias: float
 
-    def word(self, word: str) -> float:
-        grams = subwords(_bare(word))
-        return float(self.bucket[grams].sum() / len(grams))
+    def words(self, words: list[str]) -> np.ndarray:
+        """The mean over the subwords of each word."""
+        means = []
+        for at in range(0, len(words), WORDS):
+            part = [_bare(w) for w in words[at:at + WORDS]]
+            gram, owner = subwords(part)
+            total = np.bincount(owner, self.bucket[gram], len(part))
+            means.append(total / np.bincount(owner, minlength=len(part)))
+        return np.concatenate(means) if means else np.zeros(0)
 
 
 def _grouped_sum(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0)
 
 
-def _common(vocabulary, word: np.ndarray, doc: np.ndarray) -> list[list[int]]:
+def _common(vocabulary, word: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The subwords of each word that at least ``MIN_DOCS`` texts have; the others can't be learned.
 
-    They share one bucket, whose vector stays as it is at the start.
+    They share one bucket, whose vector stays as it is at the start. Buckets come by word, with
+    their number per word.
     """
-    grams = [subwords(w) for w in vocabulary]
-    pairs = np.unique(doc.astype(np.int64) * len(grams) + word)
-    in_docs = np.bincount(pairs % len(grams), minlength=len(grams))
-    seen = np.zeros(BUCKETS, np.int64)
-    for ids, n in zip(grams, in_docs):
-        seen[ids] += n
-    return [[b if seen[b] >= MIN_DOCS else RARE for b in ids] for ids in grams]
+    gram, owner = subwords(list(vocabulary))
+    order = np.argsort(owner, kind="stable")
+    gram, owner = gram[order], owner[order]
+    pairs = np.unique(doc.astype(np.int64) * len(vocabulary) + word)
+    in_docs = np.bincount(pairs % len(vocabulary), minlength=len(vocabulary))
+    once = np.unique(owner * BUCKETS + gram)
+    seen = np.bincount(once % BUCKETS, in_docs[once // BUCKETS], BUCKETS)
+    return np.where(seen[gram] >= MIN_DOCS, gram, RARE), np.bincount(owner)
 
 
 def fit(texts: list[str], labels: list[int], steps: int = 100, rate: float = 0.05,
@@ -93,9 +126,8 @@ def fit(texts: list[str], labels: list[int], steps: int = 100, rate: float = 0.0
     window = np.repeat(np.arange(len(size)), size)
     doc_size = np.array(per_doc)
     doc_start = np.cumsum(doc_size) - doc_size
-    grams = _common(vocabulary, word, np.repeat(np.arange(len(y)), np.add.reduceat(size, doc_start)))
-    gram_size = np.array([len(g) for g in grams])
-    gram = np.fromiter((b for g in grams for b in g), np.int32, int(gram_size.sum()))
+    gram, gram_size = _common(vocabulary, word,
+                              np.repeat(np.arange(len(y)), np.add.reduceat(size, doc_start)))
     gram_start = np.cumsum(gram_size) - gram_size
 
     rng = np.random.default_rng(seed)
@@ -133,24 +165,37 @@ class Scorer:
         self.model, self.known = model, {}
 
     def __call__(self, text: str | None) -> float:
-        words = words_of(text)
-        if not words:
-            return 0.0
-        known, word = self.known, self.model.word
-        values = []
-        for w in words:
-            value = known.get(w)
-            if value is None:
-                value = word(w)
-                if len(known) < REMEMBERED and len(w) <= 64:
-                    known[w] = value
-            values.append(value)
-        starts = np.arange(0, len(words), WINDOW)
-        size = np.diff(np.append(starts, len(words)))
-        logit = np.add.reduceat(np.array(values), starts) / size + self.model.bias
-        top = logit.max()
-        z = top + np.log(np.exp(logit - top).sum())
-        return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+        return float(self.many([text])[0])
+
+    def many(self, texts: list[str | None]) -> np.ndarray:
+        """Texts are taken together, ``TOGETHER`` code points or one text at a time."""
+        scores, part, held = [], [], 0
+        for text in texts:
+            part.append(text)
+            held += len(text or "")
+            if held >= TOGETHER:
+                scores.append(self._scores(part))
+                part, held = [], 0
+        return np.concatenate([*scores, self._scores(part)])
+
+    def _scores(self, texts: list[str | None]) -> np.ndarray:
+        words = [words_of(t) for t in texts]
+        known = self.known
+        new = list({w for each in words for w in each if w not in known})
+        known.update(zip(new, self.model.words(new).tolist()))
+        out = np.zeros(len(texts))
+        for i, each in enumerate(words):
+            if each:
+                values = np.fromiter(map(known.__getitem__, each), float, len(each))
+                starts = np.arange(0, len(each), WINDOW)
+                size = np.diff(np.append(starts, len(each)))
+                logit = np.add.reduceat(values, starts) / size + self.model.bias
+                top = logit.max()
+                z = top + np.log(np.exp(logit - top).sum())
+                out[i] = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        if len(known) > REMEMBERED:
+            known.clear()
+        return out
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN,
@@ -183,7 +228,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         score = Scorer(shared.value)
         for batch in batches:
-            values = np.array([score(t) for t in batch.column("text").to_pylist()], float)
+            values = score.many(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(values), pa.array((values >= 0.5).astype(np.int32))],
                 ["doc_id", "score", "predicted"])
