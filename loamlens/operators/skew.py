@@ -48,16 +48,21 @@ def _with_salts(df: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                null_safe: bool = False, rows_per_salt: int = ROWS_PER_SALT,
+                null_safe: bool = False, rows_per_salt: int | None = None,
                 hot: DataFrame | None = None) -> DataFrame:
-    """Equi-join in which the rows of a hot left key are dealt out over several tasks.
+    """Equi-join, in which the rows of a hot left key can be dealt out over several tasks.
 
-    The rows of a hot key on the left get one salt each, those on the right are repeated once
+    Without ``rows_per_salt`` and ``hot`` it is a plain join: neither side is counted or repeated, and
+    adaptive execution splits skewed partitions. With one of them the rows of a hot key on the left get one salt each, those on the right are repeated once
     per salt, so every pair meets exactly once. Works for ``inner``, ``left``, ``left_semi`` and
     ``left_anti``. ``hot`` replaces the salts taken from the row counts of the left side. The
     result has the left columns, then the right ones without the keys; other columns must not
     share a name.
     """
+    if hot is None and rows_per_salt is None:
+        joined = left.join(_renamed_keys(right, on, "_key"), _same(on, "_key", null_safe), how)
+        return joined.select(*left.columns, *[c for c in right.columns if c not in on
+                                              and how not in ("left_semi", "left_anti")])
     if hot is None:
         hot = hot_keys(left, on, rows_per_salt)
     # The salt depends on the row and its partition only: a repeated task deals its rows out

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from loamlens.errors import GroupLeakError, TooFewGroupsError
 from loamlens.operators.skew import digest, rank_by_digest, salted_join
 from loamlens.schemas import CV_FOLDS, HOLDOUT_SHARE, SEED
+from loamlens.session import durable
 
 # More size classes than this are joined by a shuffle instead of a broadcast.
 MAX_BROADCAST_ROWS = 100_000
@@ -82,7 +83,7 @@ def assign_folds(df: DataFrame, group: str, n_folds: int = CV_FOLDS,
     digest order.
     """
     spark = df.sparkSession
-    sized = df.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows"))
+    sized = durable(df.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows")))
     histogram = sized.groupBy("group_rows").agg(F.count(F.lit(1)).alias("n")).collect()
     if sum(row["n"] for row in histogram) < n_folds:
         raise TooFewGroupsError(f"column {group!r} has fewer than {n_folds} groups")

@@ -21,14 +21,14 @@ RECORD_ORDER = ("commodity_desc", "county_name", "unit_desc", "yield_value")
 
 
 def read_inputs(spark: SparkSession, folder: str, fmt: str = "parquet") -> RawTables:
-    def table(name, schema):
-        return read_table(spark, f"{folder}/{name}", schema, fmt)
+    def table(name, schema, **options):
+        return read_table(spark, f"{folder}/{name}", schema, fmt, **options)
 
     return RawTables(
         samples=table("weather_soil_samples", WEATHER_SCHEMA),
         chemical=table("ssurgo_lab_chemical_properties", CHEMICAL_SCHEMA),
         physical=table("ssurgo_lab_physical_properties", PHYSICAL_SCHEMA),
-        crops=table("nass_crops", CROP_SCHEMA),
+        crops=table("nass_crops", CROP_SCHEMA, as_is=("year",)),
         vertices=table("state_polygons", VERTEX_SCHEMA),
     )
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from uuid import uuid4
+
+from pyspark.sql import functions as F, types as T
 
 from loamlens.functions.derive import add_derived_features
 from loamlens.functions.text import category_or_missing, normalise_text, parse_year
@@ -13,12 +15,38 @@ from loamlens.queries.inputs import (
     customer_features, order_samples)
 from loamlens.queries.registry import query, rounded, table
 from loamlens.schemas import FeatureSpec
-from loamlens.sources.readers import crop_scan
+from loamlens.session import checkpoint_dir
+from loamlens.sources.readers import crop_scan, read_table, require_rows
+from loamlens.sources.sinks import read_csv, write_csv
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def full_scan(spark, sf_dir):
-    return table(spark, sf_dir, "supplier")
+    return read_table(spark, f"{sf_dir}/supplier.parquet")
+
+
+@query("SELECT * REPLACE (CAST(p_size AS DOUBLE) AS p_size) FROM part")
+def declared_scan(spark, sf_dir):
+    """A declared type other than the stored one, and undeclared columns."""
+    declared = T.StructType([T.StructField("p_partkey", T.LongType()),
+                             T.StructField("p_size", T.DoubleType())])
+    return read_table(spark, f"{sf_dir}/part.parquet", declared)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def checked_scan(spark, sf_dir):
+    """Raises instead of going on without rows."""
+    nations = read_table(spark, f"{sf_dir}/nation.parquet")
+    return require_rows(nations, "nation").select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def csv_round_trip(spark, sf_dir):
+    """Written as CSV with a header and read again."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/loamlens-{uuid4().hex}"
+    write_csv(orders, path)
+    return read_csv(spark, path, orders)
 
 
 @query("SELECT p_partkey, p_brand, p_size FROM part")

@@ -124,3 +124,21 @@ def test_sinks_and_sources(spark, tmp_path):
         == sorted(map(str, df.collect()))
     assert sorted(map(str, read_table(spark, f"{tmp_path}/c", CROP_SCHEMA, "csv").collect())) \
         == sorted(map(str, df.collect()))
+
+
+def test_declared_types_are_cast_and_other_columns_kept(spark, tmp_path):
+    """A year stored as a number stays one if it may, and its range reaches the files."""
+    stored = spark.createDataFrame(
+        [("CORN", "YIELD", 1990, "2", "ohio", None, "BU", 7),
+         ("CORN", "YIELD", 1890, "2", "ohio", None, "BU", 8),
+         ("CORN", "YIELD", None, "2", "ohio", None, "BU", 9)],
+        "commodity_desc string, statisticcat_desc string, year int, value string, "
+        "state_name string, county_name string, unit_desc string, extra int")
+    stored.write.parquet(f"{tmp_path}/y")
+    cast = read_table(spark, f"{tmp_path}/y", CROP_SCHEMA)
+    assert cast.columns == [*CROP_SCHEMA.names, "extra"]
+    assert sorted(str(r.year) for r in cast.collect()) == ["1890", "1990", "None"]
+    for df in (cast, read_table(spark, f"{tmp_path}/y", CROP_SCHEMA, as_is=("year",))):
+        assert [str(r.year) for r in crop_scan(df).collect()] == ["1990"]
+    plan = crop_scan(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(" not in plan and ">= 1948" in plan
