@@ -11,6 +11,7 @@ import os
 import sys
 import time
 from pathlib import Path
+from statistics import median
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -23,6 +24,8 @@ HEADLINE = (
     "group_kfold", "fold_sizes", "gower_nn", "cv_similarity", "local_variance",
     "stability_correlation", "matched_training_table", "train_forest",
 )
+#: a query runs up to so often, while its runs took less than so many seconds in all
+RUNS, REPEAT_BELOW = 3, 15.0
 
 
 def seconds(spark, name: str, sf_dir: str) -> float:
@@ -31,6 +34,14 @@ def seconds(spark, name: str, sf_dir: str) -> float:
     return round(time.perf_counter() - start, 3)
 
 
+def typical(spark, name: str, sf_dir: str) -> float:
+    """The median of the runs; one run of a long query."""
+    runs = [seconds(spark, name, sf_dir)]
+    while len(runs) < RUNS and sum(runs) < REPEAT_BELOW:
+        runs.append(seconds(spark, name, sf_dir))
+    return round(median(runs), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -40,7 +51,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     # start the JVM's and the Python workers' machinery outside of the measurement
     seconds(spark, "full_scan", sf_dir)
-    times = {name: seconds(spark, name, sf_dir) for name in names}
+    times = {name: typical(spark, name, sf_dir) for name in names}
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": cpus,

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from dataclasses import fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loamlens.operators.forest import ForestParams
+from loamlens.operators.stored import load_model, save_model
 from loamlens.plans.dataset import RawTables, numbered, training_table
+from loamlens.plans.diagnostics import DiagnosticReport
 from loamlens.plans.training import TrainingResult, train_with_grid_search
 from loamlens.schemas import (
     CHEMICAL_SCHEMA, COMMODITIES, CROP_SCHEMA, MAX_LOOKBACK_YEARS, PHYSICAL_SCHEMA,
     VERTEX_SCHEMA, WEATHER_SCHEMA, FeatureSpec)
+from loamlens.session import temporary_tables
 from loamlens.sources.readers import read_table, require_rows
 from loamlens.sources.sinks import write_csv, write_table
 
@@ -37,26 +41,34 @@ def run(tables: RawTables, output: str, spec: FeatureSpec = FeatureSpec(),
         grid: Sequence[ForestParams] | None = None, csv: bool = True,
         record_order: Sequence[str] = RECORD_ORDER, commodities: Sequence[str] = COMMODITIES,
         lookback: int = MAX_LOOKBACK_YEARS, **training) -> TrainingResult:
-    """Run everything and write one folder per result below ``output``."""
-    matched = numbered(training_table(tables, record_order, commodities, lookback))
-    matched = require_rows(
-        write_table(matched, f"{output}/training_data_processed"), "matched records")
-    if csv:
-        write_csv(matched.drop("row_id"), f"{output}/training_data_processed_csv")
-    result = train_with_grid_search(matched, spec, grid, **training)
-    for name, df in report_tables(result).items():
-        write_table(df, f"{output}/{name}")
-    result.model.stages[-1].write().overwrite().save(f"{output}/forest")
-    return result
+    """Run everything and write one folder per result below ``output``.
+
+    The result reads what is written there; intermediate tables are gone when this returns.
+    """
+    spark = tables.samples.sparkSession
+    with temporary_tables(spark):
+        matched = numbered(training_table(tables, record_order, commodities, lookback))
+        matched = require_rows(
+            write_table(matched, f"{output}/training_data_processed"), "matched records")
+        if csv:
+            write_csv(matched.drop("row_id"), f"{output}/training_data_processed_csv")
+        result = train_with_grid_search(matched, spec, grid, **training)
+        stored = {name: write_table(df, f"{output}/{name}")
+                  for name, df in report_tables(result).items()}
+        save_model(result.model, f"{output}/model")
+    report = result.diagnostics and DiagnosticReport(
+        **{f.name: stored[f.name] for f in fields(DiagnosticReport)})
+    return replace(result, model=load_model(spark, f"{output}/model"), diagnostics=report,
+                   **{field: stored[name] for name, field in RESULT_TABLES.items()})
+
+
+#: names of stored tables, and the fields of a result they come from
+RESULT_TABLES = {"cv_scores": "scores", "best_params": "best",
+                 "holdout_predictions": "holdout_predictions", "holdout_metrics": "holdout_metrics"}
 
 
 def report_tables(result: TrainingResult) -> dict[str, DataFrame]:
-    tables = {
-        "cv_scores": result.scores,
-        "best_params": result.best,
-        "holdout_predictions": result.holdout_predictions,
-        "holdout_metrics": result.holdout_metrics,
-    }
+    tables = {name: getattr(result, field) for name, field in RESULT_TABLES.items()}
     if result.diagnostics is not None:
         tables.update(vars(result.diagnostics))
     return tables

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +43,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: session setting that names the folder of a job's intermediate tables
+TABLES = "loamlens.tables"
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[str]:
+    """What ``durable`` stores within the block is in one folder, which is deleted at its end.
+
+    Frames that still read such tables are of no use afterwards.
+    """
+    outer = spark.conf.get(TABLES, None)
+    folder = f"{(outer or checkpoint_dir(spark)).rstrip('/')}/loamlens-job-{uuid4().hex}"
+    spark.conf.set(TABLES, folder)
+    try:
+        yield folder
+    finally:
+        if outer is None:
+            spark.conf.unset(TABLES)
+        else:
+            spark.conf.set(TABLES, outer)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from a table in the checkpoint folder.
 
     What follows does not depend on any executor's memory or disk, reads only the columns it
     needs, and is planned with the table's real size.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/loamlens-{uuid4().hex}"
+    spark = df.sparkSession
+    folder = spark.conf.get(TABLES, None) or checkpoint_dir(spark)
+    path = f"{folder.rstrip('/')}/loamlens-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,15 +1,18 @@
 """The whole job on the smallest tables."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from loamlens.operators.forest import (
     ForestParams, best_candidate, fit_model, parameter_grid, search_grid)
 from loamlens.operators.split import group_holdout, with_folds
+from loamlens.operators.stored import load_model, save_model
 from loamlens.plans import job
 from loamlens.queries.modelling import RECORD_ORDER, raw_tables
 from loamlens.schemas import FeatureSpec
-from loamlens.session import durable
+from loamlens.session import checkpoint_dir, durable, temporary_tables
 
 SPEC = FeatureSpec(numeric=("a", "b"), categorical=("g", "state_name"), target="y", group="sample",
                    impute_group="state_name")
@@ -61,9 +64,21 @@ def test_search_scores_every_candidate_and_predicts_every_row(spark, signal):
     assert predicted.count() == predicted.select("row_id").distinct().count() == 600
 
 
+def test_stored_model_predicts_the_same(spark, signal, tmp_path):
+    rows = add_missing_features(signal)
+    with temporary_tables(spark):
+        model = fit_model(rows, SPEC, ForestParams(4, 4, 2))
+        wanted = {r["row_id"]: r["prediction"] for r in model.transform(rows).collect()}
+        save_model(model, str(tmp_path / "model"))
+    predicted = load_model(spark.newSession(), str(tmp_path / "model")).transform(rows)
+    assert {r["row_id"]: r["prediction"] for r in predicted.collect()} == wanted
+
+
 def test_job_writes_every_result(spark, sf_dir, tmp_path):
     result = job.run(raw_tables(spark, sf_dir), str(tmp_path), grid=[ForestParams(3, 3, 2)],
                      record_order=RECORD_ORDER)
+    assert not list(Path(checkpoint_dir(spark).removeprefix("file:")).glob("loamlens-job-*"))
+    assert result.model.transform(spark.read.parquet(f"{tmp_path}/training_data_processed")).count()
     stored = spark.read.parquet(f"{tmp_path}/training_data_processed")
     as_csv = spark.read.option("header", True).csv(f"{tmp_path}/training_data_processed_csv")
     assert stored.count() == as_csv.count() > 0
