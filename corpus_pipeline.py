@@ -10,8 +10,11 @@ from loamlens.session import durable
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go, the others lose the lines above the limits of their host."""
-    return quality.filtered(docs)
+    """Rejected documents go, the others lose the lines that too many documents of their host share.
+
+    The number of documents alone decides, so that the limit doesn't grow with the host.
+    """
+    return quality.filtered(docs, max_share=None)
 
 
 def line_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ from loamlens.session import durable
 SYMBOLS = r"[#*$%&|<>]"
 #: fewest words; largest share (in percent) of words in repeated three-word windows
 MIN_WORDS, MAX_REPEATED = 50, 50
-#: a line is boilerplate beyond so many documents of its host, and beyond this share of them
+#: a line is boilerplate beyond so many documents of its host, and beyond this share of them (of a share of
+#: None, the number alone decides)
 MAX_DOCS, MAX_SHARE = 20, 0.1
 #: a document is depleted if more than this share of its words stood in removed lines
 MAX_REMOVED = 0.5
@@ -72,19 +73,22 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS,
-                   max_share: float = MAX_SHARE) -> DataFrame:
+                   max_share: float | None = MAX_SHARE) -> DataFrame:
     """``host`` and digest ``h`` of the lines above the limits; a stored table.
 
     A document counts once per host and line, and equal texts are one document, so that copies alone
     don't make a text boilerplate. Counts combine before every shuffle, so neither a hot host nor a hot
-    line meets in one task. A host has at most 1/``max_share`` times as many such lines as its
-    documents have on average.
+    line meets in one task. With a ``max_share`` a host has at most 1/``max_share`` times as many such
+    lines as its documents have on average, but the limit grows with the host; without (None) it is the
+    same for every size of host.
     """
     lines = _keyed(docs.select("source", F.coalesce("text", F.lit("")).alias("text")))
     lines = lines.select("host", "key", F.array_distinct(_line_rows("text")["h"]).alias("hs"))
-    sizes = lines.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     each = lines.select("host", "key", F.explode("hs").alias("h")).distinct()
     counts = each.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
+    if max_share is None:
+        return durable(counts.select("host", "h"))
+    sizes = lines.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     return durable(counts.join(sizes, "host").where(F.col("n") > F.col("docs") * max_share)
                    .select("host", "h"))
 
@@ -97,7 +101,7 @@ def _removed(docs: DataFrame, frequent: DataFrame) -> DataFrame:
         F.collect_set("h").alias("gone"))
 
 
-def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE,
+def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float | None = MAX_SHARE,
              max_removed: float = MAX_REMOVED) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``, ``source``): counts, ``base_failed``, ``kept``.
 
@@ -110,7 +114,7 @@ def verdicts(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_S
     return judged.drop("host", "key", "gone")
 
 
-def _judged(docs: DataFrame, kept: list[str], max_docs: int, max_share: float,
+def _judged(docs: DataFrame, kept: list[str], max_docs: int, max_share: float | None,
             max_removed: float) -> DataFrame:
     """Counts and verdict of every row with ``host``, ``key``, ``gone`` and the columns in ``kept``."""
     gone = _removed(docs, frequent_lines(docs, max_docs, max_share))
@@ -128,7 +132,7 @@ def _judged(docs: DataFrame, kept: list[str], max_docs: int, max_share: float,
                          "host", "key", "gone")
 
 
-def filtered(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE,
+def filtered(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float | None = MAX_SHARE,
              max_removed: float = MAX_REMOVED) -> DataFrame:
     """``docs`` without rejected documents, the others without their lines above the limits.
 

@@ -274,6 +274,17 @@ def test_frequent_lines_and_depletion(spark):
     assert not verdict[0].kept and verdict[0].n_removed_words == 3 and verdict[42].kept
 
 
+def test_pipeline_removes_frequent_lines_of_large_hosts(spark):
+    import corpus_pipeline
+
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    # 21 documents of "s" and 20 of "t" share a line, less than a tenth of either host
+    rows = [(i, ("shared line\n" if i < 21 else "") + body(i), "en", "s", 1) for i in range(300)]
+    rows += [(i, ("shared line\n" if i < 1020 else "") + body(i), "en", "t", 1) for i in range(1000, 1300)]
+    kept = corpus_pipeline.quality_rules(spark, spark.createDataFrame(rows, DOCS), "").collect()
+    assert {r.doc_id: r.text for r in kept} == {i: body(i) if i < 1000 else t for i, t, *_ in rows}
+
+
 def test_quality_odd_rows(spark, odd):
     assert quality.verdicts(odd).count() == odd.count()
     assert quality.verdicts(odd).where("kept").count() == 0
