@@ -18,8 +18,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows go; a document that has nothing left goes too."""
-    done = line_dedup.dedup_lines(docs)
+    """Later occurrences of three-line windows, and of shorter texts, go; a document that has nothing left
+    goes too."""
+    done = line_dedup.dedup_lines(docs, short=True)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:

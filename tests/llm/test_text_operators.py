@@ -177,6 +177,23 @@ def test_later_windows_go(spark):
         (3, "a\nb", "a\nb", 0)], key=repr)
 
 
+def test_short_texts_are_one_window(spark, odd):
+    rows = [(1, "a\n\n b"), (2, "a \nb\n"), (3, "a"), (4, "\na"), (5, "a\nb\nc"), (6, "x\na\nb\nc"),
+            (7, "b"), (8, ""), (9, " \n"), (10, None), (None, "a\nb")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.row.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, short=True).collect()}
+    assert got == {**{i: (t, 0) for i, t in rows}, 2: ("", 2), 4: ("", 1), 6: ("x", 3), None: ("", 2)}
+    assert line_dedup.dedup_lines(odd, short=True).count() == odd.count()
+
+
+def test_pipeline_drops_copies_of_short_texts(spark):
+    import corpus_pipeline
+
+    rows = [(i, "a b c\nd e f" if i % 2 else f"a b c\nd {i}", "en", "s", 11) for i in range(6)]
+    left = corpus_pipeline.line_windows(spark, spark.createDataFrame(rows, DOCS), "")
+    assert sorted(r.doc_id for r in left.collect()) == [0, 1, 2, 4]
+
+
 def test_line_dedup_odd_rows(spark, odd):
     assert line_dedup.dedup_lines(odd).count() == odd.count()
     assert line_dedup.dedup_lines(odd.limit(0)).count() == 0
