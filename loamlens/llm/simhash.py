@@ -179,14 +179,20 @@ def links(fingerprints: DataFrame, distance: int = 4, blocks: int = 7,
 
 
 def _grouped(docs: DataFrame, words_each: int, distance: int, blocks: int, block_limit: int):
-    """The fingerprint of every row, and ``root`` and ``component_id`` of every fingerprint."""
-    printed = durable(with_fingerprint(docs.select("doc_id", "text"), words_each))
-    nodes = durable(printed.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    """The fingerprint of every row, and of every fingerprint ``root``, ``component_id`` and ``first``.
+
+    ``first`` is the id and the text digest of the row that comes first in the component, null ids last.
+    """
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    printed = durable(with_fingerprint(keyed, words_each))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    nodes = durable(printed.groupBy("fp").agg(F.min(place).alias("least")))
     roots = components(links(nodes.select("fp"), distance, blocks, block_limit))
     rooted = nodes.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left")
     rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return printed, rooted.join(least, "root").select("fp", "root", "component_id")
+    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    return printed, rooted.join(first, "root").select(
+        "fp", "root", F.col("first.doc_id").alias("component_id"), "first")
 
 
 def near_duplicates(docs: DataFrame, words_each: int = 4, distance: int = 4, blocks: int = 7,
@@ -207,23 +213,17 @@ def without_near_duplicates(docs: DataFrame, words_each: int = 4, distance: int
                             blocks: int = 7, block_limit: int = BLOCK_LIMIT) -> DataFrame:
     """``docs`` with one row per component: that of the smallest ``doc_id``.
 
-    Of rows that share this id the one with the smallest text digest stays. A component without any
-    id keeps the row with the smallest text digest. All columns of the input are kept as they are.
+    Of its rows that share this id the one with the smallest text digest stays, so a component keeps one
+    of its own rows even if the id is in others as well. A component without any id keeps the row with
+    the smallest text digest. All columns of the input are kept as they are.
     """
     columns = docs.columns
-    rows = packed(docs)
+    rows = packed(docs).select("row", F.col("row.doc_id").alias("doc_id"),
+                               F.xxhash64("row.text").alias("key")).alias("d")
     _, groups = _grouped(docs, words_each, distance, blocks, block_limit)
-    groups = durable(groups)
-    keep = groups.where("component_id is not null").select(
-        F.col("component_id").alias("doc_id")).distinct()
-    least = rows.select("row", F.col("row.doc_id").alias("doc_id")).join(keep, "doc_id", "left_semi")
-    least = least.groupBy("doc_id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
-    kept = unpacked(least, columns)
-    lone = groups.where("component_id is null").select("fp", "root")
-    if lone.isEmpty():
-        return kept
-    marked = with_fingerprint(rows.where("row.doc_id is null").select(
-        "row", F.col("row.text").alias("text")), words_each)
-    marked = marked.join(lone, "fp").groupBy("root").agg(
-        F.min_by("row", F.xxhash64("row.text")).alias("row"))
-    return kept.unionByName(unpacked(marked, columns))
+    # equal texts have equal fingerprints, so an id and a text digest name one component
+    first = durable(groups.select("root", "first").distinct()).select(
+        "root", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key")).alias("f")
+    least = rows.join(first, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
+                      & (F.col("d.key") == F.col("f.key")))
+    return unpacked(least.groupBy("root").agg(F.first("row").alias("row")), columns)

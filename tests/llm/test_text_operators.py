@@ -117,6 +117,16 @@ def test_one_document_of_each_group_stays(spark, odd):
     assert simhash.without_near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_each_component_keeps_a_row_of_its_own(spark):
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    # id 1 comes first in the groups of texts 0 and 1, and null is all the ids that text 3 has
+    rows = [(1, body(0)), (5, body(0)), (1, body(1)), (6, body(1)), (1, body(1)), (2, body(2)),
+            (None, body(2)), (None, body(3)), (None, body(3)), (None, body(4))]
+    kept = simhash.without_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert _rows(kept, "doc_id", "text") == sorted(
+        [(1, body(0)), (1, body(1)), (2, body(2)), (None, body(3)), (None, body(4))], key=repr)
+
+
 # toxicity
 
 def test_toxicity_separates_unseen_misspellings():
