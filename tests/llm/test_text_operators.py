@@ -18,6 +18,7 @@ from loamlens.llm import (
     decontam, html_text, langid, line_dedup, quality, secrets, simhash, toxicity, unigram, warc)
 from loamlens.llm.components import components
 from loamlens.llm.queries import QUERIES, SQL
+from loamlens.session import durable
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LONG = "lorem ipsum dolor " * 20_000
@@ -448,3 +449,107 @@ def test_pipeline_equals_its_parts(spark, sf_dir):
         prints.append(_print(text))
         assert not any(b" " + w + b" " in b" " + b" ".join(decontam.words_of(text)) + b" " for w in items)
     assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
+
+
+SHARED = " ".join(f"notice{j}" for j in range(40))
+
+
+def _small_corpus():
+    """Documents of every kind that a stage drops, cuts or keeps, and the benchmark's one item."""
+    random.seed(7)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    words = lambda n: " ".join(random.choices(vocabulary, k=n))
+    rows = [(i, f"{SHARED}\n{words(60)}\n{words(30)}") for i in range(22)]  # loses the shared line
+    rows += [(30, f"{SHARED.upper()}\n{words(20)}"),  # depleted
+             (31, words(20)), (32, "a b c " * 30), (33, None), (34, "")]  # fail the base rules
+    passage = "\n".join(words(20) for _ in range(4))
+    rows += [(40, f"{words(60)}\n{passage}\n\n{words(60)}"), (41, f"{words(70)}\n{passage}\n{words(70)}"),
+             (42, passage)]  # the passage stays in the first one only
+    lone = words(60)
+    rows += [(50, lone), (51, lone), (52, f"{lone}\n{words(60)}")]
+    for i in range(4):  # near copies, the second with a word less
+        text = words(600)
+        rows += [(60 + 2 * i, text), (61 + 2 * i, text.rsplit(" ", 1)[0])]
+    item = words(15)
+    rows += [(70, f"{words(40)}, {item.upper()}; {words(40)}"),
+             (71, words(60) + " " + " ".join(item.split()[:9]) + " " + words(60))]  # nine words are no hit
+    rows += [(80 + i, f"{words(50)}\n  {words(50)} é") for i in range(5)]
+    return [(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], item
+
+
+def _after_quality(texts):
+    norm = lambda l: " ".join(l.lower().split())
+    seen = {}
+    for t in {t or "" for t in texts.values()}:
+        for line in {norm(l) for l in t.split("\n")} - {""}:
+            seen[line] = seen.get(line, 0) + 1
+    left = {}
+    for i, t in texts.items():
+        words = (t or "").split()
+        at = {}
+        for k in range(len(words) - 2):
+            at.setdefault(tuple(words[k:k + 3]), []).append(k)
+        repeated = {k + j for ks in at.values() if len(ks) > 1 for k in ks for j in range(3)}
+        if len(words) < 50 or 2 * len(repeated) > len(words):
+            continue
+        kept = [l for l in t.split("\n") if seen.get(norm(l), 0) <= 20]
+        if 2 * len(" ".join(kept).split()) >= len(words):
+            left[i] = "\n".join(kept)
+    return left
+
+
+def _after_line_dedup(texts):
+    seen, left = set(), {}
+    for i, t in sorted(texts.items()):
+        lines = [l.strip() for l in t.split("\n")]
+        worded = [k for k, l in enumerate(lines) if l]
+        gone = set()
+        for k in range(max(1, len(worded) - 2)):
+            at = worded[k:k + 3]
+            window = tuple(lines[j] for j in at)
+            gone |= set(at) if window in seen else set()
+            seen.add(window)
+        kept = [l for k, l in enumerate(t.split("\n")) if k not in gone]
+        if not gone or "".join(kept).strip():
+            left[i] = "\n".join(kept)
+    return left
+
+
+def _after_near_duplicates(texts):
+    prints = {i: _print(t) for i, t in texts.items()}
+    least = _components([(i, fp) for i, fp in prints.items()])
+    return {i: t for i, t in texts.items() if least[prints[i]] == i}
+
+
+def _after_decontamination(texts, item):
+    plain = lambda t: re.sub("[^a-z0-9\x80-\U0010ffff]+", " ", t.lower()).split()
+    windows = {tuple(plain(item)[k:k + 10]) for k in range(len(plain(item)) - 9)}
+    return {i: t for i, t in texts.items()
+            if not any(tuple(plain(t)[k:k + 10]) in windows for k in range(len(plain(t)) - 9))}
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path, path):
+    import corpus_pipeline
+
+    rows, item = _small_corpus()
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    texts = {i: t for i, t, *_ in rows}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    wanted = (_after_quality, _after_line_dedup, _after_near_duplicates,
+              lambda t: _after_decontamination(t, item))
+    for (name, stage), expected in zip(corpus_pipeline.STAGES, wanted):
+        before, texts = texts, expected(texts)
+        assert texts != before  # every stage has something to do
+        docs = durable(stage(spark, docs, str(tmp_path)))
+        assert _rows(docs, "doc_id", "text", "n_chars") == sorted(
+            [(i, t, len(t)) for i, t in texts.items()], key=repr), name
+    pieces = unigram.load(path)
+    encode, decode = unigram.Encoder(pieces), unigram.Decoder(pieces)
+    tokens = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id, decode(r.ids)) for r in tokens) == sorted(texts.items())
+    assert all(r.text_back and r.n_ids == len(r.ids) and r.ids == encode(texts[r.doc_id]).tolist()
+               for r in tokens)
+    run = corpus_pipeline.run(spark, str(tmp_path))
+    assert _rows(run, "doc_id", "ids") == _rows(spark.createDataFrame(tokens), "doc_id", "ids")
