@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from loamlens.operators.forest import ForestParams, spread
 from loamlens.operators.order_stats import quantiles
@@ -45,3 +45,19 @@ def test_narrowing_ends_on_extreme_values(spark, ends):
     for fraction in (0.5, 0.9):
         want = df.agg(F.percentile("v", F.lit(fraction))).first()[0]
         assert quantiles(df, ["v"], fraction, buffered=10).first()["v"] == pytest.approx(want)
+
+
+def test_copies_are_numbered_without_meeting_in_a_task(spark, monkeypatch):
+    from loamlens.plans import dataset
+
+    monkeypatch.setattr(dataset, "COPIES", 7)
+    rows = [("a", 1.5)] * 50 + [("b", None)] * 7 + [("c", 2.0), (None, None)]
+    df = spark.createDataFrame(rows, "x string, y double")
+    ids = dataset.numbered(df)
+    # as by a window over equal rows
+    copies = Window.partitionBy("x", "y").orderBy("x")
+    ranked = df.withColumn("n", F.row_number().over(copies)).select(
+        "x", "y", F.xxhash64(F.xxhash64("x", "y"), "n").alias("row_id"))
+    key = lambda frame: sorted(map(tuple, frame.collect()), key=repr)
+    assert ids.columns == ["x", "y", "row_id"] and key(ids) == key(ranked)
+    assert "Window" not in ids._jdf.queryExecution().toString()
