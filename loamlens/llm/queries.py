@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamlens.llm import (
-    decontam, html_text, langid, line_dedup, quality, secrets, simhash, toxicity, unigram, warc)
+    decontam, html_text, langid, line_dedup, quality, secrets, shards, simhash, toxicity, unigram, warc)
 from loamlens.llm.common import read
 
 
@@ -50,9 +50,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.round_trip(read(spark, sf_dir, "documents"), unigram.default_model(spark))
 
 
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assigned(read(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 QUERIES = {q.__name__: q for q in (
     op1_toxicity, op2_line_dedup, op3_simhash, op4_language, op5_warc_revisits, op6_secrets,
-    op7_quality, op8_decontamination, op9_html_text, op10_sentencepiece)}
+    op7_quality, op8_decontamination, op9_html_text, op10_sentencepiece, op13_shards)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -232,5 +237,53 @@ SELECT d.doc_id, len(d.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN per_doc p ON d.doc_id = p.doc_id LEFT JOIN per_item i ON d.doc_id = i.doc_id
 """
 
+#: the steps of CRC-32 over the bytes ``bs``, with a table built from its polynomial
+_CRC_TABLE = """
+crc_steps(i, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM crc_steps WHERE k = 8)"""
+_CRC = "xor(list_reduce(bs, lambda s, x: xor(s >> 8, crcs[(xor(s, x) & 255) + 1]), 4294967295), 4294967295)"
+_BYTES = """list_transform(generate_series(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)"""
+
+
+def _shards_sql() -> str:
+    def descent(name: str, n_shards: int) -> str:
+        nodes = shards.children(shards.tree_of(n_shards))
+        listed = ", ".join(f"('{node}', '{child}', {weight}::DOUBLE)"
+                           for node, below in nodes.items() for child, weight in below)
+        levels, at = [f"{name}_0 AS (SELECT key, '' AS node FROM keys)"], f"{name}_0"
+        for level in (1, 2, 3):
+            levels.append(f"""
+{name}_{level} AS (
+  SELECT key, child AS node FROM {at} JOIN {name}_tree t ON node = t.parent
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY ln(
+    (('0x' || substr(md5('{shards.SEED}:' || child || ':' || key), 1, {shards.DIGITS}))::BIGINT + 0.5::DOUBLE)
+    / {float(16 ** shards.DIGITS)}::DOUBLE) / weight DESC, child DESC) = 1)""")
+            at = f"{name}_{level}"
+        return f"{name}_tree(parent, child, weight) AS (VALUES {listed}), " + ", ".join(levels)
+
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key, coalesce(text, '') AS text,
+                hex(encode(coalesce(text, ''))) AS h FROM documents),
+keys AS (SELECT DISTINCT key FROM docs),
+{descent("now", shards.SHARDS)}, {descent("grown", shards.SHARDS + 1)},
+sums AS (SELECT text, {_CRC} AS text_crc32
+         FROM (SELECT DISTINCT text, {_BYTES} AS bs FROM docs), crc_table),
+placed AS (
+  SELECT d.doc_id, d.key, CAST(octet_length(encode(d.text)) + {shards.ROW_BYTES} AS BIGINT) AS size,
+         CAST(s.text_crc32 AS BIGINT) AS text_crc32, CAST(n.node AS INTEGER) AS shard,
+         CAST(g.node AS INTEGER) AS grown_shard
+  FROM docs d JOIN sums s ON d.text = s.text JOIN now_3 n ON d.key = n.key JOIN grown_3 g ON d.key = g.key)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5('{shards.SEED}:slot:' || key), doc_id NULLS FIRST,
+                          size, text_crc32) - 1 AS slot
+FROM placed
+"""
+
+
 SQL = {"op2_line_dedup": _LINE_DEDUP, "op5_warc_revisits": _WARC, "op6_secrets": _secrets_sql(),
-       "op7_quality": _QUALITY, "op8_decontamination": _DECONTAMINATION}
+       "op7_quality": _QUALITY, "op8_decontamination": _DECONTAMINATION,
+       "op13_shards": _shards_sql()}
