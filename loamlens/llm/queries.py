@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamlens.llm import (
-    decontam, html_text, langid, line_dedup, quality, secrets, shards, simhash, toxicity, unigram, warc)
+    decontam, html_text, langid, line_dedup, quality, resample, secrets, shards, simhash, toxicity, unigram, warc)
 from loamlens.llm.common import read
 
 
@@ -50,6 +50,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.round_trip(read(spark, sf_dir, "documents"), unigram.default_model(spark))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resample.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("row.doc_id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assigned(read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -57,7 +62,7 @@ def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_toxicity, op2_line_dedup, op3_simhash, op4_language, op5_warc_revisits, op6_secrets,
-    op7_quality, op8_decontamination, op9_html_text, op10_sentencepiece, op13_shards)}
+    op7_quality, op8_decontamination, op9_html_text, op10_sentencepiece, op12_resampling, op13_shards)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -283,7 +288,43 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
 FROM placed
 """
 
+_RESAMPLING = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS i, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS words
+      FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}')) AS w
+      FROM benchmark),
+per_doc AS (SELECT i, w, count(*) AS n FROM (SELECT i, unnest(words) AS w FROM d) GROUP BY i, w),
+hashed AS (
+  SELECT w, {_CRC} % {resample.BUCKETS} AS bucket
+  FROM (SELECT w, {_BYTES} AS bs FROM (SELECT w, hex(encode(w)) AS h
+        FROM (SELECT w FROM per_doc UNION SELECT w FROM b))), crc_table),
+ours AS (SELECT bucket, CAST(sum(n) AS DOUBLE) AS s FROM per_doc JOIN hashed USING (w) GROUP BY bucket),
+theirs AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS t FROM b JOIN hashed USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM ours) AS all_s, (SELECT coalesce(sum(t), 0) FROM theirs) AS all_t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (all_s + {resample.BUCKETS})
+                      / ((s + 1) * (all_t + {resample.BUCKETS})))) AS BIGINT) AS gain
+  FROM ours LEFT JOIN theirs USING (bucket), sums),
+weights AS (
+  SELECT i, CAST(floor(sum(gain * n)::DOUBLE / sum(n)) AS BIGINT) AS weight
+  FROM per_doc JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY i),
+scored AS (
+  SELECT d.i, doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((
+           ('0x' || substr(sha256('{resample.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights v ON d.i = v.i),
+ranked AS (
+  SELECT i, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS able
+  FROM scored WHERE n_features >= {resample.MIN_WORDS})
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN rank <= able * {resample.PERCENT} // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN ranked r ON s.i = r.i
+"""
+
 
 SQL = {"op2_line_dedup": _LINE_DEDUP, "op5_warc_revisits": _WARC, "op6_secrets": _secrets_sql(),
        "op7_quality": _QUALITY, "op8_decontamination": _DECONTAMINATION,
-       "op13_shards": _shards_sql()}
+       "op12_resampling": _RESAMPLING, "op13_shards": _shards_sql()}
