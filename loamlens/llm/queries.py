@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamlens.llm import (
-    decontam, html_text, langid, line_dedup, quality, resample, secrets, shards, simhash, toxicity, unigram, warc)
+    decontam, html_text, langid, line_dedup, negatives, quality, resample, secrets, shards, simhash,
+    toxicity, unigram, warc)
 from loamlens.llm.common import read
 
 
@@ -50,6 +51,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.round_trip(read(spark, sf_dir, "documents"), unigram.default_model(spark))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = resample.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return rows.select(F.col("row.doc_id").alias("doc_id"), "n_features", "weight", "score", "rank")
@@ -62,7 +69,7 @@ def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_toxicity, op2_line_dedup, op3_simhash, op4_language, op5_warc_revisits, op6_secrets,
-    op7_quality, op8_decontamination, op9_html_text, op10_sentencepiece, op12_resampling, op13_shards)}
+    op7_quality, op8_decontamination, op9_html_text, op10_sentencepiece, op11_negatives, op12_resampling, op13_shards)}
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -288,6 +295,27 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
 FROM placed
 """
 
+_NEGATIVES = f"""
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+near AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {negatives.POSITIVES})
+SELECT n.anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY n.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+FROM near n JOIN scored s ON n.anchor_id = s.anchor_id AND NOT s.same
+ AND 100 * s.score BETWEEN {negatives.LOWEST} * positive_score AND {negatives.HIGHEST} * positive_score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""
+
 _RESAMPLING = rf"""
 WITH RECURSIVE {_CRC_TABLE},
 d AS (SELECT row_number() OVER () AS i, doc_id,
@@ -327,4 +355,4 @@ FROM scored s LEFT JOIN ranked r ON s.i = r.i
 
 SQL = {"op2_line_dedup": _LINE_DEDUP, "op5_warc_revisits": _WARC, "op6_secrets": _secrets_sql(),
        "op7_quality": _QUALITY, "op8_decontamination": _DECONTAMINATION,
-       "op12_resampling": _RESAMPLING, "op13_shards": _shards_sql()}
+       "op11_negatives": _NEGATIVES, "op12_resampling": _RESAMPLING, "op13_shards": _shards_sql()}
