@@ -1,5 +1,8 @@
 """Time the headline queries and print one JSON line.
 
+Each time is told on standard error as soon as it is known; a run that is ended early prints the line with the
+times it has.
+
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the number of local cores, ``BENCH_QUERIES`` (comma
 separated, or ``all``) another choice of queries.
 """
@@ -8,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import signal
 import sys
 import time
 from pathlib import Path
@@ -51,11 +55,25 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     # start the JVM's and the Python workers' machinery outside of the measurement
     seconds(spark, "full_scan", sf_dir)
-    times = {name: typical(spark, name, sf_dir) for name in names}
-    print(json.dumps({
-        "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": cpus,
-    }))
+    times, failed = {}, {}
+
+    def stop(*_) -> None:
+        raise SystemExit("ended early")
+
+    signal.signal(signal.SIGTERM, stop)
+    try:
+        for name in names:
+            try:
+                times[name] = typical(spark, name, sf_dir)
+            except Exception as error:  # the other queries' times are still of use
+                failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
+            print(name, times.get(name, failed.get(name)), file=sys.stderr, flush=True)
+    finally:
+        print(json.dumps({
+            "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+            "queries": times, "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": cpus,
+            **({"failed": failed} if failed else {}),
+        }), flush=True)
     spark.stop()
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamlens.operators.forest import (
-    ForestParams, best_candidate, fit_model, parameter_grid, search_grid)
+    ForestParams, best_candidate, fit_model, search_grid)
 from loamlens.operators.split import group_holdout, with_folds
 from loamlens.operators.stored import load_model, save_model
 from loamlens.plans import job
@@ -38,10 +38,6 @@ def add_missing_features(df):
         "growing_degree_days")})
 
 
-def test_grid_has_the_expressible_combinations():
-    assert len(parameter_grid()) == 27
-
-
 def test_forest_finds_the_signal_and_repeats(spark, signal):
     rows = add_missing_features(group_holdout(signal, "sample"))
     train, holdout = rows.where("NOT is_holdout"), rows.where("is_holdout")
@@ -94,29 +90,3 @@ def test_job_writes_every_result(spark, sf_dir, tmp_path):
         .select("pedlabsampnum")).isEmpty()
     for name in job.report_tables(result):
         assert spark.read.parquet(f"{tmp_path}/{name}").columns
-
-
-def test_queries_run_the_whole_grid_and_default_forests(monkeypatch):
-    """What is handed to the search and the fit; the rows don't matter here."""
-    from loamlens.queries import QUERIES, modelling
-
-    class Seen(Exception):
-        pass
-
-    def caught(at):
-        def run(*args, **named):
-            raise Seen(args[at] if at is not None else named.get("grid"))
-        return run
-
-    for name in ("matched_rows", "known_rows", "select_features", "with_folds", "durable"):
-        monkeypatch.setattr(modelling, name, lambda *args: None)
-    monkeypatch.setattr(modelling, "split_holdout", lambda *args: (None, None))
-    for name, at in (("search_grid", 2), ("fit_model", 2), ("train_with_grid_search", None)):
-        monkeypatch.setattr(modelling, name, caught(at))
-    default = ForestParams()
-    wanted = {"grid_search": parameter_grid(), "run_report": None, "train_forest": default,
-              "forest_fold_stats": [default], "search_known_target": [ForestParams(max_depth=1), default]}
-    for name, params in wanted.items():
-        with pytest.raises(Seen) as seen:
-            QUERIES[name](None, "")
-        assert seen.value.args[0] == params, name

@@ -5,7 +5,6 @@ import math
 import pytest
 from pyspark.sql import Window, functions as F
 
-from loamlens.operators.forest import ForestParams, spread
 from loamlens.operators.order_stats import quantiles
 from loamlens.plans.dataset import numbered
 
@@ -24,20 +23,6 @@ def test_row_ids_follow_from_content(rows, parts):
     assert ids(rows.repartition(parts)) == want
 
 
-@pytest.mark.parametrize("parts", [2, 7])
-def test_forests_follow_from_rows(rows, parts):
-    from pyspark.ml.feature import VectorAssembler
-
-    make = VectorAssembler(inputCols=["a", "b"], outputCol="features")
-
-    def predictions(df):
-        vectors = make.transform(spread(df.withColumn("y", F.col("a") * F.col("b")), 30_000))
-        model = ForestParams(3, 3, 1).estimator("y").fit(vectors)
-        return sorted((r.a, r.b, r.prediction) for r in model.transform(vectors).collect())
-
-    assert predictions(rows.repartition(parts)) == predictions(rows)
-
-
 @pytest.mark.parametrize("ends", [[math.inf], [-math.inf], [math.inf, -math.inf], [1.7e308, -1.7e308]])
 def test_narrowing_ends_on_extreme_values(spark, ends):
     values = [float(i) for i in range(1000)] + ends
