@@ -104,18 +104,18 @@ def year_coercion(spark, sf_dir):
 
 
 @query(f"""
-WITH {crop_sql()}
+WITH {crop_sql(unit=10)}
 SELECT commodity_desc, statisticcat_desc, year, yield_value, state_name, county_name, unit_desc,
        l_orderkey, l_linenumber, l_partkey, l_suppkey
 FROM parsed
 WHERE year IS NOT NULL AND state_name IS NOT NULL AND yield_value > 0 AND yield_value < 1000
 """)
 def clean_records(spark, sf_dir):
-    return clean_crops(crop_records(spark, sf_dir))
+    return clean_crops(crop_records(spark, sf_dir, unit=10))
 
 
 @query(f"""
-WITH {crop_sql()}
+WITH {crop_sql(unit=10)}
 SELECT count(*) AS n_rows,
        count(*) FILTER (WHERE year IS NULL) AS n_invalid_year,
        count(*) FILTER (WHERE year IS NOT NULL
@@ -130,7 +130,7 @@ SELECT count(*) AS n_rows,
 FROM parsed
 """)
 def cleaning_counts(spark, sf_dir):
-    return crop_quality(parse_crops(crop_records(spark, sf_dir)))
+    return crop_quality(parse_crops(crop_records(spark, sf_dir, unit=10)))
 
 
 @query(r"""
