@@ -1,25 +1,21 @@
 """Exact quantiles and modes, per group or over everything, without one task holding a group.
 
 ``percentile`` keeps every distinct value of a group in one buffer. That is right for groups with
-a bounded number of distinct values and is used for those. The other groups are narrowed down
-instead: count values per sub-interval of the value range, keep the sub-interval that contains
-the wanted rank, repeat. Each round is one aggregation whose result is a few rows per group.
+a bounded number of distinct values and is used for those. In the other groups values are selected by
+rank instead: equal values are counted, the counts are dealt over ranges of the order by splitters from a
+sample, and the rows of each range say which range holds a wanted rank. Only those ranges are sorted.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from loamlens.operators.skew import salted_join
 from loamlens.session import durable
 
 BUFFERED_DISTINCT_VALUES = 200_000
-INTERVALS = 1024
-LARGEST = sys.float_info.max
 # Group keys and rank targets are broadcast up to this many rows, joined by a shuffle beyond.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -59,7 +55,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], fraction: float = 0.5,
     """Exact linearly interpolated quantile of every column: one row per group, or one row.
 
     Missing values are skipped, a column without values gives null, a null group gives no row.
-    Groups with more than ``buffered`` distinct values in their columns are narrowed down; None
+    In groups with more than ``buffered`` distinct values in their columns they are selected by rank; None
     says that the caller has checked that there are none.
     """
     rows = _with_group(df, cols, group)
@@ -74,9 +70,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], fraction: float = 0.5,
             return rows.agg(*built_in)
         return _rename(rows.groupBy("_group").agg(*built_in), cols, group)
     narrow = _join_table(rows, wide, n_wide, ["_group"], "left_anti")
-    by_narrowing = _narrow_down(_join_table(rows, wide, n_wide, ["_group"], "left_semi"),
-                                cols, fraction, buffered)
-    result = narrow.groupBy("_group").agg(*built_in).unionByName(by_narrowing)
+    by_rank = _selected_by_rank(_join_table(rows, wide, n_wide, ["_group"], "left_semi"),
+                                cols, fraction)
+    result = narrow.groupBy("_group").agg(*built_in).unionByName(by_rank)
     return _rename(result, cols, group)
 
 
@@ -94,83 +90,57 @@ def quantiles_and_total(df: DataFrame, cols: Sequence[str], fraction: float, gro
 
 
 def _melt(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("value"))
-             for i, c in enumerate(cols)]
-    return (
-        rows.select("_group", F.explode(F.array(*pairs)).alias("_pair"))
-        .select("_group", "_pair.i", "_pair.value").where(F.col("value").isNotNull())
-    )
+    """``(_group, i, whole, real)``: values of the i-th column, whole numbers as such, others as doubles.
 
-
-def _narrow_down(rows: DataFrame, cols: Sequence[str], fraction: float,
-                 buffered: int) -> DataFrame:
-    """Quantiles of the given groups by ever smaller intervals around the two wanted ranks."""
-    melted = _melt(rows, cols)
-    position = (F.col("n") - 1) * F.lit(fraction)
+    A column's values are all in one of the two, so that ordering by both orders them in their own type.
+    """
+    pairs = []
+    for i, c in enumerate(cols):
+        is_whole = isinstance(rows.schema[c].dataType, T.IntegralType)
+        pairs.append(F.struct(
+            F.lit(i).alias("i"), F.col(c).isNotNull().alias("there"),
+            (F.col(c) if is_whole else F.lit(None)).cast("bigint").alias("whole"),
+            (F.lit(None) if is_whole else F.col(c)).cast("double").alias("real")))
+    return rows.select("_group", F.explode(F.array(*pairs)).alias("p")).where("p.there").select(
+        "_group", "p.i", "p.whole", "p.real")
+
+
+def _selected_by_rank(rows: DataFrame, cols: Sequence[str], fraction: float) -> DataFrame:
+    """Quantiles of all columns of the given groups; the input is read once.
+
+    Equal values meet as counts, so one value with most of the rows is one row here. Ranges are cut by
+    group, column and value together; a group's offsets are a running sum over one row per range.
+    """
+    value = ["whole", "real"]
+    counted = _melt(rows, cols).groupBy("_group", "i", *value).agg(F.count(F.lit(1)).alias("n"))
+    placed = durable(counted.repartitionByRange("_group", "i", *value).withColumn("_part", F.spark_partition_id()))
+    ahead = Window.partitionBy("_group", "i").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_group", "i", "_part").agg(F.sum("n").alias("n")).select(
+        "_group", "i", "_part", "n", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"),
+        F.sum("n").over(Window.partitionBy("_group", "i")).alias("total"))
+    position = (F.col("total") - 1) * F.lit(fraction)
     below = F.floor(position)
     sides = F.array(
         F.struct(F.lit(0).alias("side"), below.alias("rank"),
                  (1 - (position - below)).alias("weight")),
-        F.struct(F.lit(1).alias("side"), F.least(below + 1, F.col("n") - 1).alias("rank"),
+        F.struct(F.lit(1).alias("side"), F.least(below + 1, F.col("total") - 1).alias("rank"),
                  (position - below).alias("weight")))
-    spans = melted.groupBy("_group", "i").agg(
-        F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-    targets = durable(spans.withColumn("_side", F.explode(sides))
-                      .select("_group", "i", "_side.*", "low", "high", "n"))
-    found = []
-    while True:
-        found.append(targets.where("low = high").select(
-            "_group", "i", F.col("low").alias("value"), "weight"))
-        still_open = targets.where("low < high")
-        state = still_open.agg(F.count(F.lit(1)).alias("targets"), F.max("n").alias("n")).first()
-        if state["targets"] == 0:
-            break
-        inside = _join_table(melted, still_open.drop("n"), state["targets"], ["_group", "i"]) \
-            .where(F.col("value").between(F.col("low"), F.col("high")))
-        if state["n"] <= buffered:
-            found.append(_pick_value(inside))
-            break
-        targets = durable(_pick_interval(inside))
-    parts = reduce(DataFrame.unionByName, found)
+    # at most two ranges of each group and column
+    wanted = durable(parts.withColumn("_side", F.explode(sides)).select(
+        "_group", "i", "_part", "n", "before", "_side.*").where(
+        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))).drop("n"))
+    inside = _join_table(placed, wanted, wanted.count(), ["_group", "i", "_part"])
+    until = Window.partitionBy("_group", "i", "side").orderBy(*value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    reached = inside.withColumn("_end", F.col("before") + F.sum("n").over(until))
+    picked = reached.where((F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("n")))
     # a neighbour without weight adds nothing, even if it's infinite
-    term = F.when(F.col("weight") == 0, 0.0).otherwise(F.col("value") * F.col("weight"))
-    return parts.groupBy("_group").agg(
+    term = F.when(F.col("weight") == 0, 0.0).otherwise(
+        F.coalesce("real", F.col("whole").cast("double")) * F.col("weight"))
+    return picked.groupBy("_group").agg(
         *[F.sum(F.when(F.col("i") == i, term)).alias(c) for i, c in enumerate(cols)])
 
 
-def _holding_rank(counted: DataFrame, order: str) -> DataFrame:
-    """The row per target whose values cover the target's rank; ``before`` counts those ahead."""
-    ahead = Window.partitionBy("_group", "i", "side").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return (
-        counted.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-    )
-
-
-def _pick_interval(inside: DataFrame) -> DataFrame:
-    """The sub-interval, shrunk to the values in it, that holds each target's rank."""
-    # infinities get intervals of their own, so that every round separates the ends of a range
-    low, high = F.greatest("low", F.lit(-LARGEST)), F.least("high", F.lit(LARGEST))
-    # halved before subtracting: the width of a range can exceed the largest double
-    share = F.when(low < high, (F.col("value") / 2 - low / 2) / (high / 2 - low / 2)).otherwise(0.0)
-    interval = F.when(F.col("value") < -LARGEST, -1).when(F.col("value") > LARGEST, INTERVALS) \
-        .otherwise(F.least(F.floor(share * INTERVALS), F.lit(INTERVALS - 1)))
-    counted = inside.groupBy("_group", "i", "side", "rank", "weight",
-                             interval.alias("interval")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-    return _holding_rank(counted, "interval").select(
-        "_group", "i", "side", (F.col("rank") - F.col("before")).alias("rank"), "weight",
-        "low", "high", "n")
-
-
-def _pick_value(inside: DataFrame) -> DataFrame:
-    """The value at each target's rank, once few enough values are left to sort."""
-    counted = inside.groupBy("_group", "i", "side", "rank", "weight", "value").agg(
-        F.count(F.lit(1)).alias("n"))
-    return _holding_rank(counted, "value").select("_group", "i", "value", "weight")
-
-
 def grouped_modes(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
     """Most frequent value of every column per group; ties go to the smallest value."""
     rows = _with_group(df, cols, group)

@@ -48,6 +48,43 @@ def test_narrowing_equals_the_buffer(spark, fraction):
                 assert r[c] == (expected if expected is None else pytest.approx(expected))
 
 
+def test_selection_keeps_each_type(spark):
+    """Whole numbers beyond doubles, both zeros and infinities, against sorted lists."""
+    rng = random.Random(7)
+    base = 1 << 60
+    rows = [(rng.choice("ab"), base + rng.randrange(400), rng.choice(
+        [0.0, -0.0, float("inf"), float("-inf"), 1e308, -1e308, rng.random()]), rng.randrange(100)) for _ in range(2000)]
+    # a third of all rows are one value
+    rows += [("a", base + 7, -0.0, 3)] * 1000 + [("a", None, None, None), (None, 1, 1.0, 1)]
+    df = spark.createDataFrame(rows, "g string, big bigint, x double, small int")
+    for fraction in (0.0, 0.25, 0.5, 0.9, 1.0):
+        found = {r["g"]: r for r in quantiles(df, ["big", "x", "small"], fraction, "g", buffered=5).collect()}
+        assert set(found) == {"a", "b"}
+        for g in "ab":
+            for i, c in enumerate(("big", "x", "small"), 1):
+                values = sorted(r[i] for r in rows if r[0] == g and r[i] is not None)
+                at = (len(values) - 1) * fraction
+                low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+                expected = float(low) if at == int(at) else low * (1 - at % 1) + high * (at % 1)
+                assert found[g][c] == pytest.approx(expected, nan_ok=True), (g, c, fraction)
+
+
+def test_selection_reads_its_input_once(spark):
+    from loamlens.operators import order_stats
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).selectExpr("1 AS _group", "id AS x", "id / 7 AS y")
+    counted = df.mapInArrow(seen, df.schema)
+    row = order_stats._selected_by_rank(counted, ["x", "y"], 0.5).first()
+    assert (row["x"], row["y"]) == (249.5, pytest.approx(249.5 / 7)) and read.value == 500
+
+
 def test_mode_ties_go_to_the_smallest(spark):
     df = spark.createDataFrame([("a", v) for v in ("b", "a", "b", "a", None, None, None)]
                                + [("n", None)], "g string, v string")
