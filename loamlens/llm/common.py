@@ -24,6 +24,11 @@ def text_key(text: str | Column = "text") -> Column:
     return F.xxhash64(F.coalesce(column, F.lit("")))
 
 
+def text_digest(text: str = "text") -> tuple[Column, Column]:
+    """128 bits, ``h1`` and ``h2``, that tell different texts apart."""
+    return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2")
+
+
 def packed(df: DataFrame) -> DataFrame:
     """The whole row as one column ``row``, so that no name of the input can clash with a helper's."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -8,13 +8,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from loamlens.llm.common import held_out
+from loamlens.llm.common import held_out, text_digest
 
 #: hashed character n-grams of 1 to ORDER letters
 BUCKETS, ORDER = 1 << 14, 3
-#: bounds of the sample: languages (the most frequent), documents in all, code points of a document
+#: bounds of the sample: languages (those with the most texts), documents in all, code points of a document
 MAX_LANGUAGES, SAMPLE_DOCS, SAMPLE_CHARS = 200, 1600, 20_000
 UNDETERMINED = "und"
 
@@ -148,25 +148,25 @@ def fit(texts: list[str], languages: list[str]) -> Model:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Model:
-    """Learn from ``lang`` and ``text`` of about ``sample`` documents that are not held out.
+    """Learn from ``lang`` and ``text`` of at most ``sample`` documents that are not held out.
 
-    The sample takes ids with small digests, as large a share of each language as gives an equal
-    number; texts of more than ``chars`` code points and those without an id, text or ``lang`` are not
-    learned from. At most ``MAX_LANGUAGES`` are learned, the most frequent ones.
+    A text counts once per language, however many rows hold it. Languages take turns, each with the smallest
+    digests of its texts first, so they have equal numbers as far as their texts go. Texts of more than
+    ``chars`` code points and those without an id, text or ``lang`` are not learned from. As each two languages of a
+    family need a classifier, of more than ``MAX_LANGUAGES`` those with the most texts are learned.
     """
     known = docs.select("doc_id", "lang", "text").where(
         "doc_id is not null and lang is not null and text is not null").where(~held_out())
-    known = known.where(F.char_length("text") <= chars)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    counts = {r["lang"]: r["count"] for r in counts.collect()}
-    if not counts:
-        return fit([], [])
-    each, steps = sample // len(counts) + 1, 1 << 40
-    share = F.create_map(*[F.lit(v) for lang, n in counts.items()
-                           for v in (lang, min(steps, each * steps // n))])
-    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 24)
-    rows = known.where(place < F.element_at(share, F.col("lang"))).orderBy(
-        "doc_id", F.xxhash64("text", "lang")).select("text", "lang").toArrow()
+    known = known.where(F.char_length("text") <= chars).select("lang", "text", *text_digest())
+    key = ["lang", "h1", "h2"]
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h1", "h2"))
+    # a task keeps the first texts of each language only, and one row per text comes to it
+    texts = known.select(*key).distinct()
+    most = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    chosen = texts.join(F.broadcast(most), "lang").withColumn("turn", turn).where(F.col("turn") <= sample)
+    chosen = chosen.orderBy("turn", F.xxhash64("lang"), "lang").limit(sample).select(*key)
+    rows = known.join(F.broadcast(chosen), key).groupBy(*key).agg(F.min("text").alias("text"))
+    rows = rows.orderBy(*key).select("text", "lang").toArrow()
     return fit(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
 
 

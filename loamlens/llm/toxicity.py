@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loamlens.llm.common import held_out
+from loamlens.llm.common import held_out, text_digest
 
 #: hashed vectors and their length, words of a window
 BUCKETS, DIMENSIONS, WINDOW = 1 << 16, 8, 1
@@ -200,21 +200,25 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN,
           chars: int = SAMPLE_CHARS) -> Model:
-    """Learn from at most ``toxic`` and ``clean`` labelled documents that are not held out.
+    """Learn from at most ``toxic`` and ``clean`` labelled texts that are not held out.
 
-    The sample has the smallest digests of ``doc_id``; texts of more than ``chars`` code points are
-    not learned from. Null labels and ids are left out; of several labels of an id the largest counts,
-    of several texts of an id each one does.
+    A text counts once, however many rows and ids hold it, and is toxic if any label says so. The sample has
+    the smallest digests of texts; those of more than ``chars`` code points are not learned from. Null
+    labels, ids and texts are left out; of several texts of an id each one counts.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = (F.xxhash64("doc_id"), "doc_id")
-    chosen = known.where("toxic = 1").orderBy(*order).limit(toxic).unionByName(
-        known.where("toxic = 0").orderBy(*order).limit(clean))
-    # at most toxic + clean rows of two numbers
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = sample.where(F.char_length("text") <= chars).orderBy("doc_id", F.xxhash64("text")).select(
-        "text", "toxic").toArrow()
+    texts = docs.where("doc_id is not null and text is not null").where(~held_out())
+    texts = texts.where(F.char_length("text") <= chars).select("doc_id", "text", *text_digest())
+    key = ["h1", "h2"]
+    told = texts.select("doc_id", *key).distinct().join(known, "doc_id").groupBy(*key).agg(
+        F.max("toxic").alias("toxic"))
+    # at most toxic + clean rows of three numbers
+    chosen = told.where("toxic = 1").orderBy(*key).limit(toxic).unionByName(
+        told.where("toxic = 0").orderBy(*key).limit(clean))
+    rows = texts.join(F.broadcast(chosen), key).groupBy(*key).agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = rows.orderBy(*key).select("text", "toxic").toArrow()
     return fit(rows.column("text").to_pylist(), rows.column("toxic").to_pylist())
 
 
