@@ -159,11 +159,13 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS)
         "doc_id is not null and lang is not null and text is not null").where(~held_out())
     known = known.where(F.char_length("text") <= chars).select("lang", "text", *text_digest())
     key = ["lang", "h1", "h2"]
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h1", "h2"))
-    # a task keeps the first texts of each language only, and one row per text comes to it
     texts = known.select(*key).distinct()
-    most = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
-    chosen = texts.join(F.broadcast(most), "lang").withColumn("turn", turn).where(F.col("turn") <= sample)
+    most = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    # digests are spread evenly: these hold the first ``sample`` ones, and are as many for every size of a language
+    first = F.shiftrightunsigned("h1", 24) < F.lit(float(1 << 40)) * F.lit(2.0 * sample + 200) / F.col("count")
+    placed = (F.col("h1") < 0, "h1", "h2")  # in the order of unsigned numbers
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(*placed))
+    chosen = texts.join(F.broadcast(most), "lang").where(first).withColumn("turn", turn).where(F.col("turn") <= sample)
     chosen = chosen.orderBy("turn", F.xxhash64("lang"), "lang").limit(sample).select(*key)
     rows = known.join(F.broadcast(chosen), key).groupBy(*key).agg(F.min("text").alias("text"))
     rows = rows.orderBy(*key).select("text", "lang").toArrow()
