@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from loamlens.llm.common import SPACE, packed, text_key
+from loamlens.llm.common import packed, text_key
 from loamlens.session import durable
 
+#: ASCII white space
+BLANK = " \t\n\x0b\x0c\r"
 #: consecutive lines of a window
 LINES = 3
 
@@ -15,7 +17,7 @@ LINES = 3
 def _worded(text: str | Column) -> Column:
     """The lines that hold a word, trimmed, in order."""
     lines = F.transform(F.split(text, "\n", -1),
-                        lambda l: F.regexp_replace(l, rf"^{SPACE}|{SPACE}\z", ""))
+                        lambda l: F.trim(l, F.lit(BLANK)))
     return F.filter(lines, lambda l: l != "")
 
 
@@ -50,7 +52,7 @@ def _cut(text: str, starts, size: int) -> str:
     covered = {start + k for start in starts for k in range(size)}
     kept, at = [], 0
     for line in text.split("\n"):
-        if line.strip(" \t\n\r\x0b\x0c"):
+        if line.strip(BLANK):
             if at not in covered:
                 kept.append(line)
             at += 1
