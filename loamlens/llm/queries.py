@@ -32,7 +32,10 @@ def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets(read(spark, sf_dir, "documents"))
+    """All versions are scanned with the base rules; then only what that ledger lacks, the added rules."""
+    docs = read(spark, sf_dir, "documents")
+    _, ledger = secrets.scan_history(docs, rules=secrets.BASE_RULES)
+    return secrets.secrets(docs, ledger)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,12 +152,15 @@ FROM told
 def _secrets_sql() -> str:
     scans = []
     for rank, rule in enumerate(secrets.RULES):
-        pattern = rule.pattern.replace("'", "''")
+        # this engine has no look-behind: the character before is part of the match, then left out
+        body = rule.body.replace("'", "''")
+        pattern, inner = (f"(?:^|[^{rule.before}])({body})", 1) if rule.before else (body, 0)
         scans.append(f"""
   SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least,
          list_transform(string_split_regex(body, '{pattern}'), lambda x: length(x)) AS gaps,
          list_transform(regexp_extract_all(body, '{pattern}', 0), lambda x: length(x)) AS sizes,
-         list_transform(regexp_extract_all(body, '{pattern}', {rule.group}), lambda x: length(x)) AS held
+         list_transform(regexp_extract_all(body, '{pattern}', {inner}), lambda x: length(x)) AS inner_sizes,
+         list_transform(regexp_extract_all(body, '{pattern}', {rule.group or inner}), lambda x: length(x)) AS held
   FROM docs WHERE regexp_matches(body, '{pattern}')""")
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
@@ -162,7 +168,7 @@ scans AS ({' UNION ALL '.join(scans)}),
 numbered AS (SELECT *, unnest(generate_series(1, len(sizes))) AS i FROM scans),
 spans AS (
   SELECT doc_id, rank, kind,
-         CAST(list_sum(gaps[1:i]) + coalesce(list_sum(sizes[1:i-1]), 0) AS BIGINT) AS start,
+         CAST(list_sum(gaps[1:i]) + list_sum(sizes[1:i]) - inner_sizes[i] AS BIGINT) AS start,
          CAST(list_sum(gaps[1:i]) + list_sum(sizes[1:i]) AS BIGINT) AS stop
   FROM numbered WHERE held[i] >= least),
 told AS (

@@ -11,18 +11,27 @@ from loamlens.session import durable
 
 @dataclass(frozen=True)
 class Rule:
-    """Leftmost non-overlapping matches of ``pattern`` whose ``group`` has ``least`` code points."""
+    """Leftmost non-overlapping matches of ``body`` whose ``group`` has ``least`` code points.
+
+    No match starts after one of the characters ``before``: a body that could start at each character of a
+    long run, and run to its end, would take the square of its length.
+    """
 
     kind: str
     version: int
-    pattern: str
+    body: str
     group: int = 0
     least: int = 1
+    before: str = ""
 
     @property
     def name(self) -> str:
         return f"{self.kind}/{self.version}"
 
+    @property
+    def pattern(self) -> str:
+        return f"(?<![{self.before}]){self.body}" if self.before else self.body
+
 
 # fixed values: the patterns. Character runs state their least length in the pattern where a shorter
 # run can hold no match of its own.
@@ -33,10 +42,11 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", 1, r"[0-9a-f]{32,}"),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", 2, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", before="A-Za-z0-9_-"),
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 BASE = ("assign", "access", "hex")
+BASE_RULES = tuple(r for r in RULES if r.kind in BASE)
 
 
 def blob_of(text: str | Column = "text") -> Column:
@@ -76,6 +86,22 @@ def _scan(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         "blob", "rule", "kind", (F.col("end") - F.col("length")).alias("start"), "end")
 
 
+def _blobs(versions: DataFrame) -> DataFrame:
+    texts = versions.select(F.coalesce("text", F.lit("")).alias("text"))
+    return texts.select(blob_of().alias("blob"), "text")
+
+
+def unseen(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob``, ``text`` and ``todo``: the distinct blobs, with the rule versions not yet applied to them."""
+    names = F.array(*[F.lit(r.name) for r in rules])
+    blobs = _blobs(versions).dropDuplicates(["blob"])
+    if ledger is None:
+        return blobs.withColumn("todo", names)
+    done = F.coalesce("rules", F.array().cast("array<string>"))
+    return blobs.join(ledger.select("blob", "rules"), "blob", "left").select(
+        "blob", "text", F.array_except(names, done).alias("todo")).where(F.size("todo") > 0)
+
+
 def scan_history(versions: DataFrame, ledger: DataFrame | None = None,
                  rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """Scan what no earlier scan has seen; give the findings of all blobs and the new ledger.
@@ -88,18 +114,9 @@ def scan_history(versions: DataFrame, ledger: DataFrame | None = None,
     hot key. Null texts are the empty blob.
     """
     names = F.array(*[F.lit(r.name) for r in rules])
-    texts = versions.select(F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.select(blob_of().alias("blob"), "text")
-    if ledger is None:
-        blobs = texts.dropDuplicates(["blob"]).withColumn("todo", names)
-    else:
-        known = ledger.select("blob", "rules")
-        blobs = texts.dropDuplicates(["blob"]).join(known, "blob", "left").select(
-            "blob", "text", F.array_except(names, F.coalesce("rules", F.array().cast("array<string>")))
-            .alias("todo")).where(F.size("todo") > 0)
-    new = durable(_scan(blobs, rules)).groupBy("blob").agg(
+    new = durable(_scan(unseen(versions, ledger, rules), rules)).groupBy("blob").agg(
         F.collect_list(F.struct("rule", "kind", "start", "end")).alias("fresh"))
-    seen = texts.select("blob").distinct().join(new, "blob", "left")
+    seen = _blobs(versions).select("blob").distinct().join(new, "blob", "left")
     none = F.array().cast("array<struct<rule:string,kind:string,start:bigint,end:bigint>>")
     if ledger is None:
         whole = seen.select("blob", names.alias("rules"), F.coalesce("fresh", none).alias("findings"))
@@ -146,6 +163,9 @@ def by_path(versions: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] =
 
 
 def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """Findings of every row of ``docs`` (``doc_id``, ``text``); an empty table gives an empty one."""
+    """Findings of every row of ``docs`` (``doc_id``, ``text``); an empty table gives an empty one.
+
+    Very long texts are searched whole, in time linear in their length; other columns are not read.
+    """
     findings, _ = scan_history(docs, ledger)
     return by_path(docs, findings)
