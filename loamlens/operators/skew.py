@@ -87,6 +87,55 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return joined.select(*left.columns, *[c for c in right.columns if c not in on])
 
 
+def grid_for(sized_keys: DataFrame, on: Sequence[str],
+             pairs_per_cell: int = ROWS_PER_SALT) -> DataFrame:
+    """``(on..., _left_parts, _right_parts)`` of the keys that produce more pairs than one cell should.
+
+    ``sized_keys`` holds the numbers of rows ``_left`` and ``_right`` of each key. A key of ``c`` cells
+    is cut into about the root of ``c`` parts on either side, and a side of fewer rows into one part per
+    row, the other into the rest. So a row is copied at most ``ceil(sqrt(c))`` times, or all rows
+    of the smaller side together about ``c`` times.
+    """
+    pairs = F.col("_left").cast("double") * F.col("_right")
+    cells = F.ceil(pairs / pairs_per_cell)
+    root = F.ceil(F.sqrt("_cells"))
+    left = F.least("_left", F.greatest(root, F.ceil(F.col("_cells") / F.col("_right"))))
+    right = F.least("_right", F.ceil(F.col("_cells") / F.col("_left_parts")))
+    return (
+        sized_keys.where(pairs > pairs_per_cell).withColumn("_cells", cells)
+        .orderBy(F.col("_cells").desc(), *on).limit(MAX_SALTED_KEYS)
+        .withColumn("_left_parts", left.cast("int")).withColumn("_right_parts", right.cast("int"))
+        .select(*on, "_left_parts", "_right_parts")
+    )
+
+
+def _on_grid(df: DataFrame, hot: DataFrame, on: Sequence[str], own: str, other: str) -> DataFrame:
+    """Every row in one part of its own side, ``_own``, and once for each part of the other, ``_other``."""
+    parts = F.broadcast(_renamed_keys(hot, on, "_hot"))
+    # as in salted_join: the same part whenever a task is repeated
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id()), F.col(own))
+    others = F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0)))
+    return df.join(parts, _same(on, "_hot", null_safe=True), "left").select(
+        *df.columns, F.coalesce(part, F.lit(0)).cast("int").alias("_own"),
+        F.explode(others).alias("_other"))
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], grid: DataFrame) -> DataFrame:
+    """Inner equi-join, in which the pairs of a hot key are spread over a grid of cells.
+
+    ``grid`` (see ``grid_for``) says into how many parts each side of a key is dealt; every pair of
+    rows meets in one cell, that of its two parts. Keys without an entry are joined plainly. The result has
+    the left columns, then the right ones without the keys; other columns must not share a name.
+    """
+    rows = _on_grid(left, grid, on, "_left_parts", "_right_parts")
+    cols = _on_grid(right, grid, on, "_right_parts", "_left_parts")
+    cols = _renamed_keys(cols, on, "_key").withColumnsRenamed({"_own": "_right", "_other": "_left"})
+    condition = (_same(on, "_key", null_safe=False) & (F.col("_own") == F.col("_left"))
+                 & (F.col("_other") == F.col("_right")))
+    return rows.join(cols, condition).select(
+        *left.columns, *[c for c in right.columns if c not in on])
+
+
 def digest(key: Column, seed: int) -> Column:
     """Seeded hexadecimal digest of a key: a reproducible shuffle that any SQL engine can redo."""
     return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))

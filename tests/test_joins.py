@@ -1,5 +1,6 @@
 """Lookup, salted and temporal joins."""
 
+import math
 import random
 from collections import Counter
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamlens.operators.lookback import match_crops
 from loamlens.operators.lookup import lookup
-from loamlens.operators.skew import rank_by_digest, salted_join
+from loamlens.operators.skew import grid_for, grid_join, rank_by_digest, salted_join
 
 
 def bag(df):
@@ -61,6 +62,30 @@ def test_hot_rows_are_dealt_over_salts(spark):
     assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("n_left, n_right", [(1000, 1), (1, 1000), (100, 100), (400, 3), (7, 1000)])
+def test_grid_cells_and_copies_are_bounded(spark, n_left, n_right):
+    sized = spark.createDataFrame([("hot", n_left, n_right), ("cold", 3, 3)],
+                                  "k string, _left bigint, _right bigint")
+    (hot,) = grid_for(sized, ["k"], 10).collect()
+    cells = math.ceil(n_left * n_right / 10)
+    a, b = hot["_left_parts"], hot["_right_parts"]
+    assert cells <= a * b <= 2 * cells + 2 and a <= n_left and b <= n_right
+    root = math.ceil(math.sqrt(cells))
+    assert b <= root or n_left * b <= cells + n_left     # copies of a left row
+    assert a <= root or n_right * a <= cells + n_right   # copies of a right row
+
+
+def test_grid_join_equals_a_plain_join(spark):
+    left = spark.createDataFrame([("hot", i % 40) for i in range(120)] + [(None, 1), ("a", 1), ("b", 2)],
+                                 "k string, v int").repartition(6)
+    right = spark.createDataFrame([("hot", i % 30) for i in range(90)] + [(None, 1), ("a", 5), ("c", 2)],
+                                  "k string, w int").repartition(5)
+    sized = spark.createDataFrame([("hot", 120, 90)], "k string, _left bigint, _right bigint")
+    plain = left.join(right, "k").select("k", "v", "w")
+    for pairs in (10, 200, 5000, 1_000_000):
+        assert bag(grid_join(left, right, ["k"], grid_for(sized, ["k"], pairs))) == bag(plain)
+
+
 def test_rank_by_digest_is_a_full_ranking(spark):
     keys = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 3).alias("c"))
     for digits in (1, 2):
