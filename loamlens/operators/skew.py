@@ -7,10 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loamlens.session import durable
+
 # A key is only salted while it is among this many largest ones, so the salt table that is
 # broadcast has a fixed maximal size. Any key beyond has less than 1/1000 of the rows.
 MAX_SALTED_KEYS = 1000
 ROWS_PER_SALT = 1_000_000
+# What the sketch of frequent keys reports at most, and tracks: a map of 16,384 keys, three quarters full.
+# Fewer than 2,340 keys can hold a share that it is sure of, so the report cuts nothing off.
+MAX_SKETCHED_KEYS, TRACKED_KEYS = 5_000, 12_288
+LEAST_SHARE = 2_340
 DIGEST_DIGITS = 3
 
 
@@ -26,17 +32,30 @@ def _renamed_keys(df: DataFrame, on: Sequence[str], prefix: str) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """``(on..., _salts)`` of the keys with more than ``rows_per_salt`` rows, 1000 at most."""
-    return salts_for(df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")), on, rows_per_salt)
-
+    """``(on..., _salts)`` of the keys with more than ``rows_per_salt`` rows, as a stored table.
 
-def salts_for(sized_keys: DataFrame, on: Sequence[str],
-              rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """The same from keys whose number of rows, ``_rows``, is known already."""
+    Candidates come from a mergeable sketch of frequent items, so that no table of all keys is built or
+    shuffled; its counts are upper bounds, so every key that holds at least ``1 / LEAST_SHARE`` of the
+    rows is among them (the sketch errs by at most 3.5 / 16,384 of the rows, and reports what it is sure of).
+    Then the rows of the candidates alone are counted. The table is stored, as both sides of a join
+    have to see the same salts and sketches depend on the order of merging.
+    """
+    key = F.xxhash64(*[F.col(c) for c in on])
+    top = F.call_function("approx_top_k", key, F.lit(MAX_SKETCHED_KEYS), F.lit(TRACKED_KEYS))
+    found = df.agg(top.alias("top")).select(F.explode("top").alias("key")).where(
+        F.col("key.count") > rows_per_salt).select(F.col("key.item").alias("_hash"))
+    sized = df.select(*on).join(F.broadcast(found), key == F.col("_hash"), "left_semi") \
+        .groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    return durable(salts_for(sized, on, rows_per_salt, MAX_SKETCHED_KEYS))
+
+
+def salts_for(sized_keys: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT,
+              most: int = MAX_SALTED_KEYS) -> DataFrame:
+    """The same, ``most`` keys at most, from keys whose number of rows, ``_rows``, is known already."""
     return (
         sized_keys.where(F.col("_rows") > rows_per_salt)
         .orderBy(F.col("_rows").desc(), *on)
-        .limit(MAX_SALTED_KEYS)
+        .limit(most)
         .select(*on, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
     )
 

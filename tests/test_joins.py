@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamlens.operators.lookback import match_crops
 from loamlens.operators.lookup import lookup
-from loamlens.operators.skew import grid_for, grid_join, rank_by_digest, salted_join
+from loamlens.operators.skew import grid_for, grid_join, hot_keys, rank_by_digest, salted_join
 
 
 def bag(df):
@@ -86,6 +86,15 @@ def test_grid_join_equals_a_plain_join(spark):
         assert bag(grid_join(left, right, ["k"], grid_for(sized, ["k"], pairs))) == bag(plain)
 
 
+def test_sketch_finds_every_hot_key(spark):
+    # 1,500 keys of 20 rows each, more than a plain limit took, among 20,000 keys of one row
+    rows = spark.range(1500 * 20).select((F.col("id") % 1500).alias("k"), F.lit("x").alias("s")).unionByName(
+        spark.range(10_000, 30_000).select(F.col("id").alias("k"), F.lit(None).cast("string").alias("s")))
+    hot = hot_keys(rows.repartition(8), ["k", "s"], 15)
+    assert {tuple(r) for r in hot.collect()} == {(k, "x", 2) for k in range(1500)}
+    assert hot_keys(rows.limit(0), ["k", "s"], 15).count() == 0
+
+
 def test_rank_by_digest_is_a_full_ranking(spark):
     keys = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 3).alias("c"))
     for digits in (1, 2):
