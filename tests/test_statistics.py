@@ -48,6 +48,17 @@ def test_narrowing_equals_the_buffer(spark, fraction):
                 assert r[c] == (expected if expected is None else pytest.approx(expected))
 
 
+@pytest.mark.parametrize("buffered", [None, 3])
+def test_weighted_quantiles_equal_those_of_repeated_rows(spark, buffered):
+    counted = spark.createDataFrame(
+        [("a", 1.0, 3), ("a", 2.0, 1), ("a", None, 5), ("a", 7.5, 4), ("a", 9.0, 2), ("b", 4.0, 2), ("b", 5.0, 2)],
+        "g string, x double, n long")
+    repeated = counted.select("g", "x", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    for group in ("g", None):
+        found = quantiles(counted, ["x"], 0.3, group, buffered, "n").collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, quantiles(repeated, ["x"], 0.3, group).collect()))
+
+
 def test_selection_keeps_each_type(spark):
     """Whole numbers beyond doubles, both zeros and infinities, against sorted lists."""
     rng = random.Random(7)
