@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loamlens.operators.lookback import match_crops
 from loamlens.operators.lookup import lookup
 from loamlens.operators.skew import grid_for, grid_join, hot_keys, rank_by_digest, salted_join
+from loamlens.queries import QUERIES
 
 
 def bag(df):
@@ -149,3 +150,56 @@ def test_match_equals_nested_loops(spark, rows_per_salt):
         spark.createDataFrame(crops, "state_name string, year int, ordinal int"),
         ["ordinal"], lookback=3, rows_per_salt=rows_per_salt)
     assert Counter((r["id"], r["ordinal"]) for r in matched.collect()) == expected
+
+
+def test_counted_matches_equal_the_expanded_ones(spark):
+    rng = random.Random(2)
+    samples = spark.createDataFrame(
+        [(i % 90, rng.choice(["A", "B", None]), rng.choice([None, *range(1980, 2000)]), "old") for i in range(150)],
+        "id int, state_name string, sample_year int, commodity_desc string")
+    crops = spark.createDataFrame(
+        [(rng.choice("AB"), rng.choice([1975, 1976, 1984, 1993]), rng.choice(["x", "y", None]), i) for i in range(60)],
+        "state_name string, year int, commodity_desc string, ordinal int")
+    rows = match_crops(samples, crops, ["ordinal"], lookback=3).collect()
+    for per in (["id", "is_fallback"], ["commodity_desc", "crop_year"], ["state_name", "ordinal", "id"]):
+        counted = match_crops(samples, crops, ["ordinal"], lookback=3, per=per)
+        assert counted.columns == [*per, "n_pairs"]
+        assert Counter({tuple(r)[:-1]: r["n_pairs"] for r in counted.collect()}) == Counter(
+            tuple(r[c] for c in per) for r in rows)
+
+
+def orders_and_records(spark, folder, n_orders, n_records):
+    """Tables of one state in which all orders (2000) meet all records (1999)."""
+    tables = {
+        "nation": spark.sql("SELECT 1 AS n_nationkey, 'PERU' AS n_name, 1 AS n_regionkey"),
+        "customer": spark.sql("SELECT 1L AS c_custkey, 1 AS c_nationkey, 1D AS c_acctbal"),
+        "supplier": spark.sql("SELECT 1L AS s_suppkey, 1 AS s_nationkey, 1D AS s_acctbal"),
+        "part": spark.sql("SELECT 1L AS p_partkey, 'PROMO' AS p_type, 'b' AS p_brand"),
+        "orders": spark.range(n_orders).selectExpr(
+            "id AS o_orderkey", "1L AS o_custkey", "timestamp'2000-05-05' AS o_orderdate"),
+        "lineitem": spark.range(n_records).selectExpr(
+            "id AS l_orderkey", "1L AS l_partkey", "1L AS l_suppkey", "1 AS l_linenumber",
+            "5000D + 10 * (id % 3) AS l_extendedprice", "0.05D AS l_discount", "0.01D AS l_tax", "'R' AS l_returnflag",
+            "'O' AS l_linestatus", "timestamp'1999-05-05' AS l_shipdate"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_pairs_are_counted_not_formed(spark, tmp_path):
+    folder = orders_and_records(spark, tmp_path, 200_000, 300_000)
+    assert [tuple(r) for r in QUERIES["match_override"](spark, folder).collect()] == [
+        ("PROMO", False, 6 * 10 ** 10)]
+    assert [tuple(r) for r in QUERIES["state_yield_profile"](spark, folder).collect()] == [("PERU", 501.0)]
+    assert tuple(QUERIES["match_counts"](spark, folder).first()) == (200_000, 0, 200_000, 0)
+
+
+def test_matching_reads_records_of_all_amounts(spark, tmp_path):
+    """A record of 500 units counts, so the order five years later falls back to it."""
+    folder = orders_and_records(spark, tmp_path, 0, 2)
+    spark.sql("SELECT 7L AS o_orderkey, 1L AS o_custkey, timestamp'2004-05-05' AS o_orderdate").write.mode(
+        "overwrite").parquet(f"{folder}/orders.parquet")
+    assert [(r["sample_year"], r["year"], r["yield_value"], r["l_orderkey"])
+            for r in QUERIES["closest_prior"](spark, folder).collect()] == [(2004, 1999, 500.0, 0)]
+    assert tuple(QUERIES["match_counts"](spark, folder).first()) == (1, 0, 1, 1)
