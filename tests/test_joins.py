@@ -203,3 +203,9 @@ def test_matching_reads_records_of_all_amounts(spark, tmp_path):
     assert [(r["sample_year"], r["year"], r["yield_value"], r["l_orderkey"])
             for r in QUERIES["closest_prior"](spark, folder).collect()] == [(2004, 1999, 500.0, 0)]
     assert tuple(QUERIES["match_counts"](spark, folder).first()) == (1, 0, 1, 1)
+
+
+def test_measurements_are_finished_before_they_meet_records(spark, sf_dir):
+    """Once per sample: the planned result rounds nothing."""
+    plan = QUERIES["matched_training_table"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
