@@ -8,6 +8,8 @@ from loamlens.llm.common import SPACE, packed, text_key, unpacked
 from loamlens.session import durable
 
 SYMBOLS = r"[#*$%&|<>]"
+#: white space within a line that is not one space
+UNEVEN = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 #: fewest words; largest share (in percent) of words in repeated three-word windows
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: a line is boilerplate beyond so many documents of its host, and beyond this share of them (of a share of
@@ -18,7 +20,7 @@ MAX_REMOVED = 0.5
 
 
 def _words(text: str | Column) -> Column:
-    return F.filter(F.split(text, SPACE, -1), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE, -1), "")
 
 
 def normalised(line: Column) -> Column:
@@ -26,37 +28,47 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
 
 
+def _lines(text: str | Column) -> Column:
+    """Every line that has a word, normalised; the text is searched once, for what isn't a single space already."""
+    column = F.col(text) if isinstance(text, str) else text
+    spaced = F.regexp_replace(F.lower(column), UNEVEN, " ")
+    return F.array_remove(F.transform(F.split(spaced, "\n", -1), lambda l: F.trim(l)), "")
+
+
+def _line_digests(text: str | Column) -> Column:
+    return F.transform(_lines(text), lambda l: F.xxhash64(l))
+
+
 def _line_rows(text: str | Column) -> Column:
     """Digest and number of words of every line that has a word, after normalising."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), normalised), lambda l: l != "")
-    return F.transform(lines, lambda l: F.struct(
-        F.xxhash64(l).alias("h"), F.size(F.split(l, " ", -1)).cast("bigint").alias("w")))
+    return F.transform(_lines(text), lambda l: F.struct(
+        F.xxhash64(l).alias("h"),
+        (F.octet_length(l) - F.octet_length(F.replace(l, F.lit(" "))) + 1).cast("bigint").alias("w")))
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
     """Adds the base counts and ``base_failed`` to rows that have a ``text``; the text goes.
 
     All of it is arithmetic on one row's arrays: windows are sorted by digest, so that equal ones are
-    neighbours, which takes n log n steps for n words.
+    neighbours, which takes n log n steps for n words. Texts without equal windows, most of them, sort nothing.
     """
     kept = [c for c in docs.columns if c != "text"]
-    removed = lambda pattern: (F.char_length("text")
-                               - F.char_length(F.regexp_replace("text", pattern, ""))).cast("bigint")
-    worded = F.filter(F.split("text", "\n", -1), lambda l: l.rlike(r"[^\x20\x09-\x0D]"))
+    worded = F.filter(F.split("text", "\n", -1), lambda l: F.ltrim(l, F.lit(" \t\n\x0b\x0c\r")) != "")
     df = docs.select(
         *kept, _words("text").alias("words"), worded.alias("worded"),
-        (F.char_length("text") - removed(SPACE)).alias("word_chars"),
-        removed(SYMBOLS).alias("n_symbols"))
-    windows = F.when(F.size("words") >= 3, F.transform(
+        (F.size(F.split("text", SYMBOLS, -1)) - 1).cast("bigint").alias("n_symbols"))
+    digests = F.when(F.size("words") >= 3, F.transform(
         F.sequence(F.lit(0), F.size("words") - 3),
-        lambda i: F.struct(F.xxhash64(F.get("words", i), F.get("words", i + 1),
-                                      F.get("words", i + 2)).alias("h"), i.alias("i"))))
-    df = df.select(*kept, "word_chars", "n_symbols",
+        lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2))))
+    df = df.select(*kept, F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"), "n_symbols",
                    F.size("words").cast("bigint").alias("n_words"),
                    (F.size("worded") - F.size(F.array_distinct("worded"))).cast("bigint")
                    .alias("n_dup_lines"),
-                   F.array_sort(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>")))
-                   .alias("windows"))
+                   F.coalesce(digests, F.array().cast("array<bigint>")).alias("digests"))
+    windows = F.when(F.size(F.array_distinct("digests")) < F.size("digests"), F.sort_array(F.transform(
+        "digests", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
+    df = df.select(*kept, "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                   F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>")).alias("windows"))
     twice = F.filter("windows", lambda x, i: (F.get("windows", i + 1)["h"] == x["h"])
                      | (F.get("windows", i - 1)["h"] == x["h"]))
     spread = F.array_distinct(F.flatten(F.transform(
@@ -83,7 +95,7 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS,
     same for every size of host.
     """
     lines = _keyed(docs.select("source", F.coalesce("text", F.lit("")).alias("text")))
-    lines = lines.select("host", "key", F.array_distinct(_line_rows("text")["h"]).alias("hs"))
+    lines = lines.select("host", "key", F.array_distinct(_line_digests("text")).alias("hs"))
     each = lines.select("host", "key", F.explode("hs").alias("h")).distinct()
     counts = each.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
     if max_share is None:
@@ -96,7 +108,7 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS,
 def _removed(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     """``host``, ``key`` and the digests ``gone`` of a text's lines above the limits."""
     lines = _keyed(docs.select("source", F.coalesce("text", F.lit("")).alias("text")))
-    each = lines.select("host", "key", F.explode(F.array_distinct(_line_rows("text")["h"])).alias("h"))
+    each = lines.select("host", "key", F.explode(F.array_distinct(_line_digests("text"))).alias("h"))
     return each.join(frequent, ["host", "h"]).groupBy("host", "key").agg(
         F.collect_set("h").alias("gone"))
 

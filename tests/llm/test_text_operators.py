@@ -553,3 +553,25 @@ def test_pipeline_equals_brute_force(spark, tmp_path, path):
                for r in tokens)
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert _rows(run, "doc_id", "ids") == _rows(spark.createDataFrame(tokens), "doc_id", "ids")
+
+
+def test_quality_counts_search_a_text_once_and_sort_without_a_comparator(spark):
+    texts = ["a\tb  c\n A B C\n\n \x0b\n a\x0cb", "x x x x x x", "", "ΑΣ\nΑΣ Σ", " \n\t\n", "a # $ b%&|<> *", "é \x85 b c d",
+             "#", "one\ntwo words\rthree\nONE\none", "a b c d a b c e", "\n".join(["p q r", " p q r ", "p q r"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    counted = quality.base_rules(df)
+    found = {r.doc_id: r for r in counted.collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        worded = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+        windows = [tuple(words[j:j + 3]) for j in range(len(words) - 2)]
+        repeated = {j + k for j, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+        r = found[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(worded) - len(set(worded)), len(repeated))
+    lines = df.select("doc_id", quality._line_rows("text").alias("lines"))
+    for r in lines.collect():
+        plain = [" ".join(re.findall(r"[^\x20\x09-\x0D]+", line.lower())) for line in texts[r.doc_id].split("\n")]
+        assert [x.w for x in r.lines] == [len(line.split(" ")) for line in plain if line]
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort(" not in plan and "regexp_replace" not in plan
