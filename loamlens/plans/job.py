@@ -47,7 +47,7 @@ def run(tables: RawTables, output: str, spec: FeatureSpec = FeatureSpec(),
     """
     spark = tables.samples.sparkSession
     with temporary_tables(spark):
-        matched = numbered(training_table(tables, record_order, commodities, lookback))
+        matched = numbered(training_table(tables, record_order, commodities, lookback, copy="_copy"), copy="_copy")
         matched = require_rows(
             write_table(matched, f"{output}/training_data_processed"), "matched records")
         if csv:

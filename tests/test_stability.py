@@ -1,6 +1,7 @@
 """Results don't depend on how the rows lie."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -46,3 +47,20 @@ def test_copies_are_numbered_without_meeting_in_a_task(spark, monkeypatch):
     key = lambda frame: sorted(map(tuple, frame.collect()), key=repr)
     assert ids.columns == ["x", "y", "row_id"] and key(ids) == key(ranked)
     assert "Window" not in ids._jdf.queryExecution().toString()
+
+
+def test_pairs_are_numbered_by_their_sides(spark, sf_dir):
+    """The same ids as by comparing whole rows, and no pair moves for them."""
+    from loamlens.plans.dataset import training_table
+    from loamlens.queries.modelling import RECORD_ORDER, raw_tables
+
+    tables = raw_tables(spark, sf_dir)
+    # repeated samples and records make equal pairs
+    twice = lambda df, n: df.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("_again")
+    tables = replace(tables, samples=twice(tables.samples, 2), crops=twice(tables.crops, 3))
+    wanted = numbered(training_table(tables, RECORD_ORDER))
+    found = numbered(training_table(tables, RECORD_ORDER, copy="_copy"), copy="_copy")
+    assert found.columns == wanted.columns and found.count() == wanted.count() == found.select("row_id").distinct().count()
+    assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and plan.index("Join") < plan.index("Aggregate")
