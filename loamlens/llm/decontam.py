@@ -15,6 +15,8 @@ from loamlens.llm.common import packed
 WINDOW = 10
 #: windows of one automaton; more are dealt over several, each scanned over the carried rows
 MAX_WINDOWS = 50_000
+#: rows scanned and given back at once
+ROWS = 512
 
 # A-Z to a-z, letters of other scripts and digits kept, everything else of ASCII to a space
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -134,8 +136,9 @@ def _scanner(shared, key: str):
             _built.clear()
             _built[key] = automaton(shared.value)
         built = _built[key]
-        for batch in batches:
-            yield _scanned(batch, built)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                yield _scanned(whole.slice(at, ROWS), built)
     return run
 
 

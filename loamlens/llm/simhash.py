@@ -16,6 +16,8 @@ from loamlens.session import durable
 BITS = 64
 #: shingles turned into bits at once, which bounds a worker's memory for any text
 STEP = 1 << 15
+#: texts that a worker holds besides the batch it was given
+ROWS = 512
 #: fingerprints of one block compared in memory; larger blocks go through their neighbour balls
 BLOCK_LIMIT = 20_000
 _WEIGHTS = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
@@ -47,6 +49,12 @@ def fingerprint(text: str | None, words_each: int = 4, seed: int = 42) -> int:
     return int(_WEIGHTS[ones * 2 > count].sum(dtype=np.uint64).view(np.int64))
 
 
+def fingerprints(texts: pa.Array, words_each: int = 4) -> list[int]:
+    """The SimHash of each text; a worker makes at most ``ROWS`` of them strings at a time."""
+    return [fingerprint(t, words_each) for at in range(0, len(texts), ROWS)
+            for t in texts.slice(at, ROWS).to_pylist()]
+
+
 def with_fingerprint(docs: DataFrame, words_each: int = 4) -> DataFrame:
     """``row`` columns plus ``text`` become the same without the text but with ``fp``, a bigint."""
     kept = [c for c in docs.columns if c != "text"]
@@ -54,7 +62,7 @@ def with_fingerprint(docs: DataFrame, words_each: int = 4) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t, words_each) for t in batch.column("text").to_pylist()]
+            fps = fingerprints(batch.column("text"), words_each)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array(fps, pa.int64())], [*kept, "fp"])
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -20,7 +21,7 @@ from loamlens.llm.common import packed
 MARK = "▁"
 #: a character without a piece of its own costs this more than the worst piece
 UNKNOWN_PENALTY = 10.0
-#: rows given back at once, and remembered words of a worker
+#: rows given back at once, and remembered words of a task
 ROWS, REMEMBERED, LONGEST_REMEMBERED = 512, 500_000, 64
 
 
@@ -107,7 +108,7 @@ class Encoder:
         # without a piece that has a marker behind another character, words can be cut apart
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", pieces.texts[i])
                                for i in pieces.plain_ids)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as int32
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Ids of ``text``, after a marker in front and one for each space; none if it's empty."""
@@ -119,11 +120,15 @@ class Encoder:
         for word in words:
             found = known.get(word)
             if found is None:
-                found = self.viterbi(word)
+                found = array("i", self.viterbi(word)).tobytes()
                 if len(known) < REMEMBERED and len(word) <= LONGEST_REMEMBERED:
                     known[word] = found
             ids.append(found)
-        return np.fromiter(chain.from_iterable(ids), np.int32)
+        return np.frombuffer(b"".join(ids), np.int32)
+
+    def forget(self) -> None:
+        """Remembered words go, so that a worker that waits for other work doesn't hold them."""
+        self.known.clear()
 
     def viterbi(self, text: str) -> tuple[int, ...]:
         """Ties go to the piece that starts first."""
@@ -176,6 +181,9 @@ class Decoder:
             self.raw[i] = bytes([b])
         self.raw[pieces.unknown_id] = " ⁇ ".encode()
 
+    def forget(self) -> None:
+        """Nothing of the texts is kept."""
+
     def __call__(self, ids) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
@@ -191,16 +199,21 @@ def _of(kind, pieces: Pieces):
     return _shared[key]
 
 
-def _with_column(df: DataFrame, name: str, kind: StructField, of: str, make) -> DataFrame:
+def _with_column(df: DataFrame, name: str, kind: StructField, of, tool, pieces, make) -> DataFrame:
+    """``df`` with what ``make`` gives for the array that ``of`` takes from a batch, by an encoder or decoder."""
     schema = StructType([*df.schema.fields, StructField(name, kind)])
     kept = df.columns
 
     def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in kept), make(batch.column(of))], [*kept, name])
+        does = _of(tool, pieces.value)
+        try:
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(c) for c in kept), make(does, of(batch))], [*kept, name])
+        finally:
+            does.forget()
 
     return df.mapInArrow(run, schema)
 
@@ -213,15 +226,16 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     """
     pieces = docs.sparkSession.sparkContext.broadcast(load(path))
 
-    def make(texts):
-        encode = _of(Encoder, pieces.value)
+    def make(encode, texts):
         parts = [encode(t) for t in texts.to_pylist()]
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(
             np.concatenate([np.empty(0, np.int32), *parts]).astype(np.int32)))
 
-    rows = packed(docs).select("row", F.col("row.text").alias("text"))
-    return _with_column(rows, "ids", ArrayType(IntegerType()), "text", make).drop("text")
+    # the text is read from the row, so that a batch holds it once; rows are never null
+    at = min(range(len(docs.columns)), key=lambda i: (docs.columns[i] != "text", docs.columns[i].lower() != "text"))
+    return _with_column(packed(docs), "ids", ArrayType(IntegerType()), lambda b: pc.struct_field(b.column("row"), [at]),
+                        Encoder, pieces, make)
 
 
 def decoded(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -231,12 +245,11 @@ def decoded(df: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -
     """
     pieces = df.sparkSession.sparkContext.broadcast(load(path))
 
-    def make(column):
-        decode = _of(Decoder, pieces.value)
+    def make(decode, column):
         return pa.array([decode(i.values.to_numpy().tolist() if i.is_valid else ()) for i in column],
                         pa.string())
 
-    return _with_column(df, name, StringType(), ids, make)
+    return _with_column(df, name, StringType(), lambda b: b.column(ids), Decoder, pieces, make)
 
 
 def default_model(spark: SparkSession) -> str:

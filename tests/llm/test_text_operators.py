@@ -8,6 +8,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -413,6 +414,49 @@ def test_decoding_gives_the_text_back(spark, docs, odd, path):
     assert unigram.round_trip(odd.limit(0), path).count() == 0
 
 
+def test_workers_keep_no_words_of_a_task_that_has_ended(spark, docs, path):
+    unigram.round_trip(docs.repartition(8), path).collect()
+
+    def remembered(batches):
+        for _ in batches:
+            held = [len(does.known) for (kind, _), does in unigram._shared.items() if kind is unigram.Encoder]
+            yield pa.RecordBatch.from_pydict({"encoders": [len(held)], "words": [sum(held)]})
+
+    held = spark.range(64).repartition(32).mapInArrow(remembered, "encoders bigint, words bigint").collect()
+    assert any(r.encoders for r in held)  # the same workers
+    assert not any(r.words for r in held)
+
+
+def test_encoder_gives_the_same_ids_after_forgetting(path):
+    encode = unigram.Encoder(unigram.load(path))
+    texts = ["two words", " a  b ", "日本 \U0001f600x", "", None, "words two two"]
+    before = [encode(t).tolist() for t in texts]
+    assert encode.known
+    encode.forget()
+    assert not encode.known and [encode(t).tolist() for t in texts] == before
+
+
+def test_texts_become_strings_in_bounded_numbers(monkeypatch):
+    class Texts:
+        """A column that can only be read in slices."""
+
+        def __init__(self, values):
+            self.values, self.most = values, 0
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, n):
+            self.most = max(self.most, n)
+            return pa.array(self.values[at:at + n], pa.string())
+
+    monkeypatch.setattr(simhash, "ROWS", 7)
+    values = [None, "", *(f"one two {i} four five" for i in range(50))]
+    texts = Texts(values)
+    assert simhash.fingerprints(texts) == [simhash.fingerprint(v) for v in values]
+    assert texts.most == 7
+
+
 def test_double_array_finds_its_keys():
     random.seed(4)
     keys = {bytes(random.choices(range(256), k=random.randrange(1, 6))): i for i in range(800)}
