@@ -87,6 +87,15 @@ def test_grid_join_equals_a_plain_join(spark):
         assert bag(grid_join(left, right, ["k"], grid_for(sized, ["k"], pairs))) == bag(plain)
 
 
+def test_small_sides_with_many_pairs_keep_several_tasks(spark, tmp_path):
+    """2,000 orders and 3,000 records are few bytes but 6 million pairs."""
+    folder = orders_and_records(spark, tmp_path, 2000, 3000)
+    for name in ("lookback_match",):
+        shares = QUERIES[name](spark, folder).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        assert sum(r["n"] for r in shares) == 6_000_000
+        assert max(r["n"] for r in shares) <= 4_500_000
+
+
 def test_sketch_finds_every_hot_key(spark):
     # 1,500 keys of 20 rows each, more than a plain limit took, among 20,000 keys of one row
     rows = spark.range(1500 * 20).select((F.col("id") % 1500).alias("k"), F.lit("x").alias("s")).unionByName(
