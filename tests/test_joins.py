@@ -90,7 +90,7 @@ def test_grid_join_equals_a_plain_join(spark):
 def test_small_sides_with_many_pairs_keep_several_tasks(spark, tmp_path):
     """2,000 orders and 3,000 records are few bytes but 6 million pairs."""
     folder = orders_and_records(spark, tmp_path, 2000, 3000)
-    for name in ("lookback_match",):
+    for name in ("lookback_match", "match_union"):
         shares = QUERIES[name](spark, folder).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
         assert sum(r["n"] for r in shares) == 6_000_000
         assert max(r["n"] for r in shares) <= 4_500_000
